@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.decontamination import OP7_SQL, op7_decontamination
 from tillroll.llm.token_counts import op3_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_counts": op3_token_counts}
+    return {
+        "op3_token_counts": op3_token_counts,
+        "op7_decontamination": op7_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": OP7_SQL}
