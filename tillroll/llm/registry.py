@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.decontamination import OP7_SQL, op7_decontamination
+from tillroll.llm.mixing import op5_mix
+from tillroll.llm.sharding import op10_shard
 from tillroll.llm.token_counts import op3_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_counts": op3_token_counts,
+        "op5_mix": op5_mix,
         "op7_decontamination": op7_decontamination,
+        "op10_shard": op10_shard,
     }
 
 
