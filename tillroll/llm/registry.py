@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.decontamination import OP7_SQL, op7_decontamination
 from tillroll.llm.mixing import op5_mix
+from tillroll.llm.quality import op1_quality
 from tillroll.llm.secrets import op2_secrets
 from tillroll.llm.sharding import op10_shard
 from tillroll.llm.token_counts import op3_token_counts
@@ -16,6 +17,7 @@ from tillroll.llm.urls import op6_urls
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_secrets": op2_secrets,
         "op3_token_counts": op3_token_counts,
         "op5_mix": op5_mix,
