@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the bytes that one Arrow batch of whole texts can hold."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch, and send workers this package.
+
+    Executors share no folder with the driver; the package goes as a small archive
+    with the session's files, so that workers keep its caches from task to task.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    _sent.add(context.applicationId)
+    top = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    context.addPyFile(str(archive))
+
+
+_sent: set[str] = set()
 
 
 def text_remainder(doc_id: Column, parts: int) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import materialise, read_table
+from tillroll.llm.common import materialise, prepare_workers, read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -97,6 +97,7 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int, fitted: int =
 
 def mix(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", source: str = "source", share: Fraction = Fraction(3, 2), most: int = 2) -> DataFrame:
     """``keys``, source, size, source_size, target, copies and taken of each document."""
+    prepare_workers(docs.sparkSession)
     kept = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
     digest = F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys], F.crc32(F.encode(F.col(f"`{text}`"), "UTF-8")))
     sized = materialise(docs.select(*kept, F.col(f"`{source}`").cast("string").alias("source"), count_words(F.col(f"`{text}`")).alias("size"), digest.alias("h")))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import read_table, small_batches, text_remainder
+from tillroll.llm.common import read_table, prepare_workers, text_remainder
 
 #: Labelled documents that a model is fitted on at most.
 MAX_ROWS = 20_000
@@ -131,18 +131,22 @@ def fit(rows: np.ndarray, labels: np.ndarray, to_pooled: float = TO_POOLED, to_d
     return model
 
 
-def logistic(evidence: np.ndarray, labels: np.ndarray, ridge: float = 1.0, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of P(label 1), by Newton's method; the slope stays above 0."""
+def logistic(evidence: np.ndarray, labels: np.ndarray, balance: float = 0.0, ridge: float = 1.0, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset of P(label 1), by Newton's method; the slope stays above 0.
+
+    ``balance``: 0 takes rows as they are, 1 lets both classes weigh the same.
+    """
     x = np.column_stack([evidence, np.ones_like(evidence)])
     # Platt's targets keep the curve finite where the classes don't overlap.
     n1, n0 = labels.sum(), (1 - labels).sum()
     y = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(labels == 1, len(labels) / (2 * n1), len(labels) / (2 * n0)) ** balance
     w = np.array([0.0, 0.0])
     penalty = np.diag([ridge, 1e-6])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (p - y) + penalty @ w
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, gradient)
+        gradient = x.T @ (weight * (p - y)) + penalty @ w
+        step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, gradient)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -157,7 +161,7 @@ def sampled_labels(labels: DataFrame, label: str, use: Column, max_rows: int, se
 
 def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace the text by __statistics, an array of doubles."""
-    small_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name != text]
     width = len(kept)
     source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`"))
@@ -181,7 +185,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, use: Column, label: str = "q
 
 def score_quality(df: DataFrame, model: Discriminant, text: str = "text") -> DataFrame:
     """Add score to each row of ``df``."""
-    small_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name.lower() != "score"]
     width = len(kept)
     source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text"))

@@ -12,6 +12,7 @@ from tillroll.llm.quality import op1_quality
 from tillroll.llm.secrets import op2_secrets
 from tillroll.llm.sharding import op10_shard
 from tillroll.llm.token_counts import op3_token_counts
+from tillroll.llm.toxicity import op9_toxicity
 from tillroll.llm.urls import op6_urls
 
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mix": op5_mix,
         "op6_urls": op6_urls,
         "op7_decontamination": op7_decontamination,
+        "op9_toxicity": op9_toxicity,
         "op10_shard": op10_shard,
     }
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import read_table, small_batches
+from tillroll.llm.common import read_table, prepare_workers
 
 #: Fixed shapes.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -124,7 +124,7 @@ SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end
 
 def scan_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     """Add base and spans: arrays of (start, end, kind) by start, then kind."""
-    small_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     added = [T.StructField("base", T.ArrayType(SPAN)), T.StructField("spans", T.ArrayType(SPAN))]
     kept = [f for f in df.schema.fields if f.name.lower() not in ("base", "spans")]
     width = len(kept)

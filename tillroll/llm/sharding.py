@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import materialise, read_table
+from tillroll.llm.common import materialise, prepare_workers, read_table
 
 SHARDS = 24
 #: Bytes of a row besides its text.
@@ -78,6 +78,7 @@ def difference(parts: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.nda
 
 def shard_by_bytes(docs: DataFrame, keys: list[str], shards: int = SHARDS, text: str = "text", chunk_groups: int = CHUNK_GROUPS) -> DataFrame:
     """``keys``, size, text_crc32, shard and slot of each row."""
+    prepare_workers(docs.sparkSession)
     content = F.encode(F.col(f"`{text}`"), "UTF-8")
     rows = materialise(docs.select(
         *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import read_table, small_batches
+from tillroll.llm.common import read_table, prepare_workers
 
 #: Chunks and token pairs remembered by a worker; when full they start afresh.
 MEMORY_ENTRIES = 500_000
@@ -243,7 +243,7 @@ def prefix_token_counts(df: DataFrame, path: str, text: str = "text", keep_prefi
     ``prefix_tokens`` holds the running count at the end of each white-space
     delimited chunk. ``path`` must name the vocabulary on every worker.
     """
-    small_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     added = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
     if keep_prefixes:
         added.append(T.StructField("prefix_tokens", T.ArrayType(T.IntegerType())))

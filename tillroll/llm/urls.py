@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import read_table
+from tillroll.llm.common import prepare_workers, read_table
 
 # Words of unwanted sites, words of ordinary sites, common short
 # words, in rough order of frequency within each list.
@@ -159,6 +159,7 @@ def fitting_rule(table: dict[str, list[tuple[str, str, str]]], host: str, path:
 
 def filter_urls(df: DataFrame, rules: dict[str, str], url: str = "url") -> DataFrame:
     """Add host, path, rule and verdict. ``rules`` goes to each worker with the plan."""
+    prepare_workers(df.sparkSession)
     names = ("host", "path", "rule", "verdict")
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
     width = len(kept)
