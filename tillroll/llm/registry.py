@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.decontamination import OP7_SQL, op7_decontamination
 from tillroll.llm.mixing import op5_mix
+from tillroll.llm.ngram_join import op8_ngram_join
 from tillroll.llm.quality import op1_quality
 from tillroll.llm.secrets import op2_secrets
 from tillroll.llm.sharding import op10_shard
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mix": op5_mix,
         "op6_urls": op6_urls,
         "op7_decontamination": op7_decontamination,
+        "op8_ngram_join": op8_ngram_join,
         "op9_toxicity": op9_toxicity,
         "op10_shard": op10_shard,
     }
