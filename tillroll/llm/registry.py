@@ -13,6 +13,7 @@ from tillroll.llm.quality import op1_quality
 from tillroll.llm.secrets import op2_secrets
 from tillroll.llm.sharding import op10_shard
 from tillroll.llm.token_counts import op3_token_counts
+from tillroll.llm.topk_search import OP4_SQL, op4_topk
 from tillroll.llm.toxicity import op9_toxicity
 from tillroll.llm.urls import op6_urls
 
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_secrets": op2_secrets,
         "op3_token_counts": op3_token_counts,
+        "op4_topk": op4_topk,
         "op5_mix": op5_mix,
         "op6_urls": op6_urls,
         "op7_decontamination": op7_decontamination,
@@ -32,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": OP7_SQL}
+    return {"op4_topk": OP4_SQL, "op7_decontamination": OP7_SQL}
