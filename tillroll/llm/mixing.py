@@ -32,8 +32,11 @@ from tillroll.llm.common import materialise, prepare_workers, read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
-#: Of one source and length, documents are numbered by this many hash buckets.
-BUCKETS = 1024
+#: Of one source and length, documents are numbered within buckets of this many
+#: leading bits of their hash.
+BUCKET_BITS = 10
+#: Rows up to which the counted plan by source and length is broadcast.
+BROADCAST_ROWS = 500_000
 #: Words left to the dynamic program where the lengths at hand allow it.
 FITTED_WORDS = 8192
 
@@ -96,10 +99,14 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int, fitted: int =
 
 
 def mix(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", source: str = "source", share: Fraction = Fraction(3, 2), most: int = 2) -> DataFrame:
-    """``keys``, source, size, source_size, target, copies and taken of each document."""
+    """``keys``, source, size, source_size, target, whole, h, copies and taken of each document.
+
+    Every document is taken ``whole`` times and, of its source and length, those of
+    the least hashes h once more.
+    """
     prepare_workers(docs.sparkSession)
     kept = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
-    digest = F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys], F.crc32(F.encode(F.col(f"`{text}`"), "UTF-8")))
+    digest = seeded_hash(keys, seed, text)
     sized = materialise(docs.select(*kept, F.col(f"`{source}`").cast("string").alias("source"), count_words(F.col(f"`{text}`")).alias("size"), digest.alias("h")))
     counted = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
     totals = [(r["source"], int(r["words"] or 0)) for r in counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()]
@@ -117,10 +124,10 @@ def mix(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", so
 
     planned = counted.groupBy("source").applyInPandas(plan, "source string, size long, source_size long, target double, whole long, extra long")
 
-    bucket = F.pmod("h", F.lit(BUCKETS)).cast("int")
+    bucket = F.shiftright("h", 64 - BUCKET_BITS).cast("int")
     place = ["p_source", "p_size", "bucket"]
     # Null sources take part in the joins: their key is told from every name.
-    name = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
+    name = source_key("source")
     rows = sized.select("*", name.alias("p_source"), F.col("size").alias("p_size"), bucket.alias("bucket"))
     before = Window.partitionBy("p_source", "p_size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plans = planned.select(name.alias("p_source"), F.col("size").alias("p_size"), "source_size", "target", "whole", "extra")
@@ -130,9 +137,39 @@ def mix(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", so
     ranked = rows.withColumn("rank", rank).join(offsets, place)
     copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("before") + F.col("rank") <= F.col("extra")).cast("long")).otherwise(F.lit(0).cast("long"))
     return ranked.withColumn("copies", copies).select(
-        *[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+        *[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], "source", "size", "source_size", "target", "whole", "h", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
+def seeded_hash(keys: list[str], seed: int, text: str) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys], F.crc32(F.encode(F.col(f"`{text}`"), "UTF-8")))
+
+
+def source_key(source: str) -> Column:
+    """A join key of a source's name in which null is told from every name."""
+    return F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source)))
+
+
+def mixed_documents(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as many times as it is taken.
+
+    Texts aren't moved: whether a document is taken follows from its source, length
+    and hash. Rows that agree in ``keys`` and text are taken alike.
+    """
+    planned = mix(docs, keys, seed, text, source)
+    upto = F.max(F.when(F.col("copies") > F.col("whole"), F.col("h"))).alias("__upto")
+    plan = materialise(planned.groupBy(source_key("source").alias("__source"), F.col("size").alias("__size")).agg(F.max("whole").alias("__whole"), upto))
+    few = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    own = docs.withColumns({"__source": source_key(f"`{source}`"), "__size": count_words(F.col(f"`{text}`")), "__h": seeded_hash(keys, seed, text)}).where("__size > 0")
+    joined = own.join(F.broadcast(plan) if few else plan, ["__source", "__size"])
+    copies = F.col("__whole") + F.coalesce((F.col("__h") <= F.col("__upto")).cast("long"), F.lit(0))
+    return _repeated(joined, copies, docs.columns)
+
+
+def _repeated(rows: DataFrame, copies: Column, columns: list[str]) -> DataFrame:
+    taken = rows.withColumn("__copies", copies).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in columns])
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")

@@ -382,6 +382,28 @@ def with_smallest(found: DataFrame, key: str) -> DataFrame:
     return found.join(smallest, "component", "left").withColumn("component_id", F.coalesce("component_id", key))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest ``key``.
+
+    Rows are told apart by key and text; of rows that agree in both one stays.
+    Documents without shingles all stay.
+    """
+    hashed = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("hash"))
+    found = materialise(jaccard_components(hashed, ["key", "hash"], "text")).where(F.col("component").isNotNull())
+    order = F.struct(F.col("key").isNull(), "key", "hash")
+    kept = found.groupBy("component").agg(F.min(order).alias("kept"), F.count("*").alias("rows")).where("rows > 1")
+    rows = materialise(found.join(kept, "component").select("key", "hash", (order != F.col("kept")).alias("goes")))
+    repeated = rows.where("NOT goes").groupBy("key", "hash").count().where("count > 1").select("key", "hash")
+    gone = materialise(rows.where("goes").select("key", "hash").distinct().unionByName(repeated))
+    marked = docs.withColumns({"__key": F.col(f"`{key}`"), "__hash": F.xxhash64(f"`{text}`")})
+    same = lambda side: (F.col("__hash") == side["hash"]) & F.col("__key").eqNullSafe(side["key"])
+    gone = _hinted(gone)
+    stays = marked.join(gone, same(gone), "left_anti")
+    again = _hinted(materialise(repeated))
+    once = marked.join(again, same(again), "left_semi").dropDuplicates(["__key", "__hash"])
+    return stays.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     return with_smallest(materialise(found), "doc_id").select("doc_id", "n_shingles", "component_id")

@@ -183,19 +183,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, use: Column, label: str = "q
     return fit(x, np.array([r["__label"] for r in rows], dtype=int))
 
 
-def score_quality(df: DataFrame, model: Discriminant, text: str = "text") -> DataFrame:
-    """Add score to each row of ``df``."""
+def score_quality(df: DataFrame, model: Discriminant, text: str = "text", score: str = "score") -> DataFrame:
+    """Add ``score`` to each row of ``df``."""
     prepare_workers(df.sparkSession)
-    kept = [f for f in df.schema.fields if f.name.lower() != "score"]
+    kept = [f for f in df.schema.fields if f.name.lower() != score.lower()]
     width = len(kept)
     source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([statistics(t) for t in batch.column(width).to_pylist()], dtype=float).reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(width)], pa.array(model.score(rows), pa.float64())], names=[f.name for f in kept] + ["score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(width)], pa.array(model.score(rows), pa.float64())], names=[f.name for f in kept] + [score])
 
-    return source.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    return source.mapInArrow(run, T.StructType([*kept, T.StructField(score, T.DoubleType())]))
 
 
 #: Ids of which a fold of this many is held out, and which of them; the least score of label 1.
