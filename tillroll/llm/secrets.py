@@ -148,7 +148,11 @@ def _shown(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    number = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    number = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return scanned.select("doc_id", *number, F.sha2(_shown("base"), 256).alias("base_sha256"), _shown("spans").alias("spans"))
