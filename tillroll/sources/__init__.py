@@ -1 +1,122 @@
-"""Part of the engine; see README.md."""
+"""Reading and writing: transactions, items, datasets, submissions and reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def load_data(spark: SparkSession, transactions_path: str, items_path: str) -> tuple[DataFrame, DataFrame]:
+    """Transactions with date, month and year, and items; prices as doubles."""
+    tx = spark.read.parquet(transactions_path)
+    tx = with_calendar(tx).withColumns({c: F.col(c).cast("double") for c in ("price", "discount")})
+    items = spark.read.parquet(items_path)
+    return tx, items.withColumn("price", F.col("price").cast("double"))
+
+
+def with_calendar(tx: DataFrame) -> DataFrame:
+    when = F.col("updated_date")
+    return tx.withColumns({"date": F.to_date(when), "month": F.month(when), "year": F.year(when)})
+
+
+def print_schema(tx: DataFrame, items: DataFrame) -> None:
+    tx.printSchema()
+    items.printSchema()
+
+
+def require_unique_items(items: DataFrame) -> DataFrame:
+    """``items`` as given; fails if an item has two rows, which would multiply joins."""
+    twice = items.groupBy("item_id").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"item_id is not unique: {twice[0]['item_id']!r}")
+    return items
+
+
+def scan_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet dataset at ``path``; where ``x_chunks`` is absent, ``x.parquet`` beside it.
+
+    Paths are looked up through Hadoop, so any store that Spark reads will do.
+    """
+    if not path_exists(spark, path) and path.rstrip("/").endswith("_chunks"):
+        path = path.rstrip("/").removesuffix("_chunks") + ".parquet"
+    return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a path if it exists."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cleanup_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete those of ``paths`` that exist; returns their number."""
+    return sum(remove_path(spark, p) for p in paths)
+
+
+def sink_dataset(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as one Parquet dataset and return it read back, its lineage cut."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a dataset, from the files' footers."""
+    return spark.read.parquet(path).count()
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A small report as one CSV file with a header."""
+    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+def save_submission(submission: DataFrame, path: str) -> None:
+    """customer_id and its ordered array of items."""
+    submission.select(F.col("customer_id").cast("int"), F.col("items").cast("array<string>")).write.mode("overwrite").parquet(path)
+
+
+def load_submission(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("customer_id", "items")
+
+
+# The supplied benchmark tables as transactions and items.
+
+
+def benchmark_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    order = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
+    joined = line.join(order, line.l_orderkey == order.o_orderkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    tx = joined.select(
+        F.col("o_custkey").cast("int").alias("customer_id"),
+        F.col("l_partkey").cast("string").alias("item_id"),
+        F.col("l_orderkey").alias("bill_id"),
+        F.col("o_orderdate").alias("updated_date"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        price.alias("price"),
+        (price * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+        F.nullif(F.col("s_nationkey"), F.lit(24)).cast("int").alias("location"),
+    )
+    return with_calendar(tx)
+
+
+def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    word = lambda n: F.split_part("p_name", F.lit(" "), F.lit(n))
+    return part.select(
+        F.col("p_partkey").cast("string").alias("item_id"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
+        F.col("p_type").alias("category_l1"),
+        word(2).alias("category_l2"),
+        word(1).alias("category_l3"),
+        F.col("p_name").alias("category"),
+        F.when(F.col("p_partkey") % 17 != 0, F.col("p_brand")).alias("brand"),
+        F.concat(F.lit("Mfr#"), (F.substring("p_brand", 7, 10).cast("int") % 5).cast("string")).alias("manufacturer"),
+        (F.col("p_partkey") % 3).cast("int").alias("sale_status"),
+        F.col("p_size").cast("string").alias("size"),
+    )
