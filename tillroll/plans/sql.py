@@ -158,7 +158,7 @@ def taxonomy(column: str, prefix: str) -> str:
 
 
 USER_BASKET = f"""
-ubf AS (
+ubk AS (
   SELECT customer_id, {_mean('lines')} AS user_avg_bill_lines, {_mean('its')} AS user_avg_bill_items, {_mean('q')} AS user_avg_bill_quantity, {_mean('v')} AS user_avg_bill_value_from_bills
   FROM (SELECT customer_id, bill_id, count(*) AS lines, count(DISTINCT item_id) AS its, sum(quantity) AS q, sum(price * quantity) AS v FROM hist GROUP BY customer_id, bill_id) GROUP BY customer_id
 )"""
@@ -182,9 +182,9 @@ _ZERO = ["ui_n_transactions", "ui_n_bills", "ui_total_quantity", "uc_n_transacti
          "ul1_n_transactions", "ul2_n_transactions", "ul3_n_transactions", "uman_n_transactions", "ui_n_transactions_30d", "ui_n_transactions_60d", "item_location_transactions", "item_location_customers"]
 JOINED = ", ".join([
     LABELED, USER, ITEM, USER_ITEM, USER_BASKET, ITEM_BASKET, MAIN_LOCATION, ITEM_LOCATION, *[taxonomy(c, p) for c, p in _TAX.items()],
-    "wide0 AS (SELECT labeled.*, uf.* EXCLUDE (customer_id), ubf.* EXCLUDE (customer_id), mlf.* EXCLUDE (customer_id), itf.* EXCLUDE (item_id), ibf.* EXCLUDE (item_id), ilf.* EXCLUDE (item_id, user_main_location), "
+    "wide0 AS (SELECT labeled.*, uf.* EXCLUDE (customer_id), ubk.* EXCLUDE (customer_id), mlf.* EXCLUDE (customer_id), itf.* EXCLUDE (item_id), ibf.* EXCLUDE (item_id), ilf.* EXCLUDE (item_id, user_main_location), "
     + ", ".join(f"{p}f.* EXCLUDE (customer_id, {c})" for c, p in _TAX.items())
-    + ", uif.* EXCLUDE (customer_id, item_id) FROM labeled LEFT JOIN uf ON labeled.customer_id = uf.customer_id LEFT JOIN ubf ON labeled.customer_id = ubf.customer_id "
+    + ", uif.* EXCLUDE (customer_id, item_id) FROM labeled LEFT JOIN uf ON labeled.customer_id = uf.customer_id LEFT JOIN ubk ON labeled.customer_id = ubk.customer_id "
     + "LEFT JOIN mlf ON labeled.customer_id = mlf.customer_id LEFT JOIN itf ON labeled.item_id = itf.item_id LEFT JOIN ibf ON labeled.item_id = ibf.item_id "
     + "LEFT JOIN ilf ON labeled.item_id = ilf.item_id AND mlf.user_main_location = ilf.user_main_location "
     + " ".join(f"LEFT JOIN {p}f ON labeled.customer_id = {p}f.customer_id AND itf.{c} = {p}f.{c}" for c, p in _TAX.items())
@@ -238,7 +238,7 @@ tiers AS (
   UNION ALL SELECT customer_id, item_id, 2, place FROM fresh WHERE n <= 2
   UNION ALL SELECT customer_id, item_id, 3, place FROM sub UNION ALL SELECT customer_id, item_id, 4, place FROM rot
 ), firsts AS (SELECT customer_id, item_id, tier, place FROM tiers QUALIFY row_number() OVER (PARTITION BY customer_id, item_id ORDER BY tier, place) = 1),
-blend AS (SELECT customer_id, item_id, row_number() OVER (PARTITION BY customer_id ORDER BY tier, place) AS place FROM firsts QUALIFY place <= 10)"""
+blend AS (SELECT customer_id, item_id, spot AS place FROM (SELECT customer_id, item_id, row_number() OVER (PARTITION BY customer_id ORDER BY tier, place) AS spot FROM firsts) WHERE spot <= 10)"""
 
 _COUNTS = "cc AS (SELECT customer_id, count(*) AS n, sum(target) AS hits FROM labeled GROUP BY customer_id), gu AS (SELECT customer_id, count(*) AS t FROM gt GROUP BY customer_id), ju AS (SELECT gu.customer_id, t, coalesce(n, 0) AS n, coalesce(hits, 0) AS hits, CAST(coalesce(hits, 0) AS DOUBLE) / t AS recall FROM gu LEFT JOIN cc USING (customer_id))"
 _SIZES = 'count(*) AS users, CAST(min(n) AS BIGINT) AS "min", CAST(sum(n) AS DOUBLE) / count(n) AS mean, CAST(max(n) AS BIGINT) AS "max", CAST(median(n) AS DOUBLE) AS median, ' + ", ".join(f"CAST({_near('n', q)} AS BIGINT) AS {name}" for name, q in (("p75", 0.75), ("p90", 0.9), ("p95", 0.95)))
@@ -279,7 +279,7 @@ SQL: dict[str, str] = {
     "item_features": with_(ITEM) + rounded(["item_avg_discount_rate"], "itf"),
     "user_item_features": with_(USER_ITEM) + "SELECT * FROM uif",
     **{f"user_{c}_features": with_(taxonomy(c, p)) + f"SELECT * FROM {p}f" for c, p in _TAX.items()},
-    "user_basket": with_(USER_BASKET) + "SELECT * FROM ubf",
+    "user_basket": with_(USER_BASKET) + "SELECT * FROM ubk",
     "item_basket": with_(ITEM_BASKET) + "SELECT * FROM ibf",
     "user_main_location": with_(MAIN_LOCATION) + "SELECT * FROM mlf",
     "item_location": with_(ITEM_LOCATION) + "SELECT * FROM ilf",
