@@ -5,20 +5,20 @@ are linked; each gets the smallest id that its links reach.
 
 Equal sets are one node: its 64-bit digest. Shingles have one order for all: those
 known to be frequent last. If x and y are similar, each of their prefixes of
-n - ceil(0.8 n) + l shingles holds at least l shared ones. So nodes meet at the
-shingles of the prefix with l = 1, and a pair is a candidate if the prefixes for its
-smaller l share that many. A node's l grows with the logarithm of its estimated
-number of candidates, the document counts of its prefix's frequent shingles.
-Candidates must also pass two exact bounds, by place in the order and by a small
-histogram of each set, before their whole sets are compared.
+n - ceil(0.8 n) + l shingles holds at least l shared ones. A node's l is a share of
+its size that grows with its estimated number of candidates, the document counts of
+its prefix's frequent shingles. A pair must share as many prefix shingles as its
+smaller l asks for, and so a node that shares too few with all others goes before
+any pair is made. Candidates must also pass two exact bounds, by place in the order
+and by a small histogram of each set, before their whole sets are compared.
 
 No group of copies makes all its pairs: nodes are first compared with one
 representative for each of their min-hashes and linked ones merged to components.
 Then only shingles that still join different components are looked at, found by
 their least and greatest component with partial aggregation, and only pairs across
-components. Shingles with the same nodes are looked at once. A shingle's nodes are
-dealt to blocks of at most BLOCK, and each pair of blocks is a group of its own.
-Each of these steps is exact: none drops a link that could join two components.
+components, each at the first shingle that it shares. A shingle's nodes are dealt
+to blocks of at most BLOCK, and each pair of blocks is a group of its own. Each of
+these steps is exact: none drops a link that could join two components.
 
 Defined results: a null or empty text, or one without words, has no shingles, no
 links and its own id; equal sets are linked whatever the text; null ids are passed
@@ -30,7 +30,7 @@ sets share one with probability 2^-64.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, log2
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +48,13 @@ MIN_HASHES = 8
 #: Frequent shingles: a task reports those in TASK_DOCS of its nodes or more, the
 #: FREQUENT most frequent of all are told from the rest. They change the order of
 #: shingles, and with it only the cost.
-TASK_DOCS, TASK_FREQUENT, FREQUENT = 4, 20_000, 100_000
-#: Shared prefix shingles that are asked for at most.
-MOST_MATCHES = 12
-#: Cells of a set's histogram, and set sizes up to which cells can't overflow.
-CELLS, CELLS_FOR = 256, 20_000
+TASK_DOCS, TASK_FREQUENT, FREQUENT = 2, 20_000, 200_000
+#: Shared prefix shingles asked for, as percent of a set's size: at least and at most.
+LEAST_MATCHES, MOST_MATCHES = 5, 10
+#: Bits for each shingle in the map of those that join components, and bits at most.
+MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
+#: Cells of a set's histogram; sets that overfill one go without.
+CELLS = 256
 #: Nodes of one shingle that meet in one group.
 BLOCK = 2_000
 #: Rows up to which a counted table is broadcast.
@@ -64,9 +66,15 @@ def needed(n: np.ndarray | int, m: np.ndarray | int):
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
-def matches_for(cost: float) -> int:
-    """Shared prefix shingles to ask for, given an estimate of the candidates."""
-    return min(MOST_MATCHES, 1 + int(log2(1 + cost)))
+def matches_for(n: int, cost: float) -> int:
+    """l of a set of n shingles, given an estimate of its candidates."""
+    percent = min(LEAST_MATCHES + log2(1 + cost) / 2, MOST_MATCHES)
+    return 1 + int(n * percent) // 100
+
+
+def least_matches(n: int) -> int:
+    """The l that any similar set, of 0.8 n shingles or more, asks for at least."""
+    return 1 + LEAST_MATCHES * -(-PERCENT * n // 100) // 100
 
 
 class ShingleOrder:
@@ -87,13 +95,13 @@ class ShingleOrder:
         order = np.argsort(docs, kind="stable")  # hashes come sorted
         return hashes[order], docs[order]
 
-    def prefix(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Shingles and documents in order, the length of the plain prefix, and l."""
+    def prefix(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The prefix in order, the documents of its shingles, and l."""
         ordered, docs = self.sort(hashes)
-        least = ceil(PERCENT * len(hashes) / 100)
-        plain = len(hashes) - least + 1
-        matches = max(1, min(matches_for(float(docs[:plain].sum())), least))
-        return ordered, docs, plain, matches
+        least = -(-PERCENT * len(hashes) // 100)
+        plain = len(hashes) - least
+        matches = min(matches_for(len(hashes), float(docs[: plain + 1].sum())), least)
+        return ordered[: plain + matches], docs[: plain + matches], matches
 
 
 def _rows(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -197,76 +205,96 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _prefix_rows(docs: DataFrame, text: str, order: ShingleOrder) -> DataFrame:
-    """shingle, node for the plain prefix of each node, once for each task."""
+def _prefix_rows(docs: DataFrame, text: str, order: ShingleOrder, bits: np.ndarray | None = None) -> DataFrame:
+    """shingle, node, need for the prefix of each node, once for each task.
+
+    With ``bits`` only shingles whose bits are all set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in _rows(batches, 0):
-            nodes, shingles = [], []
+            nodes, needs, shingles = [], [], []
             if len(seen) > 500_000:
                 seen.clear()
             for s in sets:
                 node = set_digest(s)
                 if len(s) and node not in seen:
                     seen.add(node)
-                    ordered, _, plain, _ = order.prefix(s)
+                    prefix, _, matches = order.prefix(s)
                     nodes.append(node)
-                    shingles.append(ordered[:plain])
+                    needs.append(min(matches, least_matches(len(s))))
+                    shingles.append(prefix)
             if nodes:
                 sizes = [len(s) for s in shingles]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles), pa.int64()), pa.array(np.repeat(np.array(nodes, dtype=np.int64), sizes), pa.int64())], names=["shingle", "node"])
+                columns = [np.concatenate(shingles), np.repeat(np.array(nodes, dtype=np.int64), sizes), np.repeat(np.array(needs, dtype=np.int64), sizes)]
+                if bits is not None:
+                    keep = _has_bits(bits, columns[0])
+                    columns = [c[keep] for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shingle", "node", "need"])
+
+    return docs.select(text).mapInArrow(run, "shingle long, node long, need long")
+
+
+def _has_bits(bits: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Whether both of a shingle's bits are set in ``bits``, 64-bit words."""
+    mask = np.uint64(len(bits) * 64 - 1)
+    found = np.ones(len(shingles), dtype=bool)
+    for shift in (0, 29):
+        at = (shingles.view(np.uint64) >> np.uint64(shift)) & mask
+        found &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return found
 
-    return docs.select(text).mapInArrow(run, "shingle long, node long")
+
+def _bit_map(shingles: DataFrame) -> np.ndarray:
+    """A Bloom filter of a counted table of shingles, of bounded size."""
+    size = 1 << min(max(MAP_BITS * shingles.count(), 1 << 12), MOST_MAP_BITS).bit_length() - 1
+    at = F.explode(F.array(*[F.shiftrightunsigned("shingle", shift).bitwiseAND(F.lit(size - 1)) for shift in (0, 29)]))
+    placed = shingles.select(at.alias("at"))
+    # The bit's value: 1 << 63 has no literal, so bits are set by shifting.
+    words = placed.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(size // 64, dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
 
 
 def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
     return rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-PAYLOAD = "node long, n int, plain int, matches int, end_docs long, end_shingle long, prefix binary, cells binary"
+PAYLOAD = "node long, n int, size int, matches int, end_docs long, end_shingle long, cells binary"
 
 
 def _payloads(texts: DataFrame, order: ShingleOrder) -> DataFrame:
-    """What a node brings to the comparison with others at a shingle.
-
-    ``prefix`` holds the lower 32 bits of its longer prefix in order; equal bits of
-    different shingles can only let a pair pass. ``end``: the last of it in order.
-    """
+    """What a node brings to the comparison with others at a shingle: besides sizes
+    and l, the end of its prefix in the order, and the histogram of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _rows(batches, 1):
             out = []
             for node, s in zip(batch.column(0).to_pylist(), sets):
-                ordered, docs, plain, matches = order.prefix(s)
-                size = plain + matches - 1
-                cells = np.bincount(s.view(np.uint64) >> np.uint64(56), minlength=CELLS).clip(0, 255).astype(np.uint8) if len(s) <= CELLS_FOR else np.empty(0, dtype=np.uint8)
-                if len(cells) and cells.max() == 255:
+                prefix, docs, matches = order.prefix(s)
+                cells = np.bincount(s.view(np.uint64) >> np.uint64(56), minlength=CELLS).clip(0, 255).astype(np.uint8)
+                if cells.max() == 255:
                     cells = cells[:0]
-                out.append((node, len(s), plain, matches, int(docs[size - 1]), int(ordered[size - 1]), ordered[:size].astype(np.int32).tobytes(), cells.tobytes()))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 8, kinds)], names=[x.split()[0] for x in PAYLOAD.split(", ")])
+                out.append((node, len(s), len(prefix), matches, int(docs[-1]), int(prefix[-1]), cells.tobytes()))
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)], names=[x.split()[0] for x in PAYLOAD.split(", ")])
 
     return texts.select("node", "text").mapInArrow(run, PAYLOAD)
 
 
-def candidates(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple]) -> list[tuple[int, int]]:
-    """Pairs of a group's nodes, of different components, that may be linked.
+def candidates(shingle: int, nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple]) -> list[tuple[int, int]]:
+    """Pairs of a shingle's nodes, of different components, that may be linked and
+    share no smaller shingle.
 
     ``left``, ``right``: whether a node stands on that side of the pair of blocks.
-    ``payload``: n, plain, matches, end, prefix and cells of each node.
+    ``payload``: n, size of the prefix, l, end, shared shingles and cells of each node.
     """
-    n = np.array([p[0] for p in payload])
-    matches = np.array([p[2] for p in payload])
+    n, size, matches = (np.array([p[k] for p in payload]) for k in range(3))
     by_end = {e: k for k, e in enumerate(sorted({p[3] for p in payload}))}
     end = np.array([by_end[p[3]] for p in payload])
-    prefixes = [np.unique(p[4]) for p in payload]
-    lengths = np.array([len(p[4]) for p in payload])
-    everything = np.unique(np.concatenate(prefixes))
-    member = np.zeros((len(payload), len(everything)), dtype=np.float32) if len(payload) * len(everything) <= 40_000_000 else None
-    if member is not None:
-        for k, p in enumerate(prefixes):
-            member[k, np.searchsorted(everything, p)] = 1
+    shingles = [p[4] for p in payload]
     exact = np.array([bool(len(p[5])) for p in payload])
     cells = np.array([p[5] if len(p[5]) else np.full(CELLS, 255, dtype=np.uint8) for p in payload])
     found = []
@@ -275,36 +303,30 @@ def candidates(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, righ
         others = others[(others > x) | ~left[others]] if right[x] else others
         least = needed(n[x], n[others])
         fits = np.minimum(n[x], n[others]) >= least
-        others, least = others[fits], least[fits]
-        if not len(others):
-            continue
-        if member is not None:
-            shared = (member[others] @ member[x]).astype(np.int64)
-        else:
-            shared = np.array([len(np.intersect1d(prefixes[x], prefixes[y], assume_unique=True)) for y in others], dtype=np.int64)
-        # Shingles past the earlier end: at most what is left of the set that ends there.
-        rest = np.where(end[x] <= end[others], n[x] - lengths[x], n[others] - lengths[others])
-        rest = np.where(end[x] == end[others], np.minimum(n[x] - lengths[x], n[others] - lengths[others]), rest)
-        keep = (shared >= np.minimum(matches[x], matches[others])) & (shared + rest >= least)
-        others, least = others[keep], least[keep]
-        if len(others):
-            most = np.minimum(cells[others], cells[x]).sum(axis=1, dtype=np.int64)
-            keep = (most >= least) | ~exact[others] | ~exact[x]
-            found += [(int(nodes[x]), int(nodes[y])) for y in others[keep]]
+        most = np.minimum(cells[others], cells[x]).sum(axis=1, dtype=np.int64)
+        fits &= (most >= least) | ~exact[others] | ~exact[x]
+        for y, need in zip(others[fits].tolist(), least[fits].tolist()):
+            common = np.intersect1d(shingles[x], shingles[y], assume_unique=True)
+            if common[0] != shingle or len(common) < min(matches[x], matches[y]):
+                continue
+            # Shingles past the earlier end: at most what is left of the set that ends there.
+            rest = min(n[z] - size[z] for z in (x, y) if end[z] == min(end[x], end[y]))
+            if len(common) + rest >= need:
+                found.append((int(nodes[x]), int(nodes[y])))
     return found
 
 
 def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by group, i, j; a group that spans batches is carried over."""
+    """Rows come sorted by shingle, i, j; a group that spans batches is carried over."""
     held: list[pa.RecordBatch] = []
 
     def solve(table: pa.Table) -> list[tuple[int, int]]:
         block = table.column("block").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         ends = zip(table.column("end_docs").to_pylist(), table.column("end_shingle").to_pylist())
-        rows = zip(table.column("n").to_pylist(), table.column("plain").to_pylist(), table.column("matches").to_pylist(), ends, table.column("prefix").to_pylist(), table.column("cells").to_pylist())
-        payload = [(n, plain, m, e, np.frombuffer(p, dtype=np.int32), np.frombuffer(c, dtype=np.uint8)) for n, plain, m, e, p, c in rows]
-        return candidates(table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload)
+        rows = zip(table.column("n").to_pylist(), table.column("size").to_pylist(), table.column("matches").to_pylist(), ends, table.column("shared").to_numpy(), table.column("cells").to_pylist())
+        payload = [(n, size, m, e, shared, np.frombuffer(c, dtype=np.uint8)) for n, size, m, e, shared, c in rows]
+        return candidates(table.column("shingle")[0].as_py(), table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload)
 
     def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = ([min(p) for p in pairs], [max(p) for p in pairs])
@@ -321,31 +343,37 @@ def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         held.append(batch)
         table = pa.Table.from_batches(held).combine_chunks()
         cuts = groups(table)
-        pairs = [p for a, b in zip(cuts[:-2], cuts[1:-1]) for p in solve(table.slice(a, b - a))]
+        yield out([p for a, b in zip(cuts[:-2], cuts[1:-1]) for p in solve(table.slice(a, b - a))])
         held = table.slice(cuts[-2]).to_batches()
-        yield out(list(dict.fromkeys(pairs)))
     if held:
         yield out(solve(pa.Table.from_batches(held).combine_chunks()))
 
 
+def _joining(members: DataFrame) -> DataFrame:
+    """shingle of those whose members are of different components."""
+    return members.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+
+
 def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrder, component: DataFrame) -> DataFrame:
     """Candidate pairs across components."""
     component = _hinted(component)
-    prefixes = _with_component(_prefix_rows(docs, text, order), component)
-    ends = prefixes.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = materialise(ends.where("lo < hi").select("shingle"))
-    members = prefixes.join(_hinted(mixed), "shingle").groupBy("shingle", "node").agg(F.first("component").alias("component"))
+    joining = materialise(_joining(_with_component(_prefix_rows(docs, text, order), component)))
+    members = _with_component(_prefix_rows(docs, text, order, _bit_map(joining)), component)
+    members = members.groupBy("shingle", "node").agg(F.first("need").alias("need"), F.first("component").alias("component"))
+    for _ in range(2):  # nodes that go leave shingles that no longer join any
+        members = materialise(members)
+        members = members.join(_joining(members), "shingle", "left_semi")
+        enough = members.groupBy("node").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("node")
+        members = members.join(enough, "node", "left_semi")
     members = materialise(members)
-    digest = [F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
-    distinct = members.groupBy("shingle").agg(*digest).groupBy("size", "x", "y").agg(F.min("shingle").alias("shingle")).select("shingle", "size")
-    kept = members.join(distinct, "shingle")
-    texts = _texts(docs, text, nodes, kept.select("node").distinct())
-    carried = kept.join(_payloads(texts, order), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    carried = carried.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
+    payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
+    sizes = members.groupBy("shingle").agg(F.count("*").alias("members"))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    carried = members.drop("need").join(sizes, "shingle").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = carried.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks", "size")
-    sorted_groups = spread.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+    spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks", "members")
+    sorted_groups = spread.join(payload, "node").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
     return materialise(sorted_groups.mapInArrow(_group_candidates, "a long, b long").distinct())
 
 
