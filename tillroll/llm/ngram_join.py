@@ -16,8 +16,10 @@ No group of copies makes all its pairs: nodes are first compared with one
 representative for each of their min-hashes and linked ones merged to components.
 Then only shingles that still join different components are looked at, found by
 their least and greatest component with partial aggregation, and only pairs across
-components, each at the first shingle that it shares. A shingle's nodes are dealt
-to blocks of at most BLOCK, and each pair of blocks is a group of its own. Each of
+components, each at the first shingle that it shares. Shingles that share nodes meet
+in one group where possible, so that a node's rows are few: by labels spread twice
+between shingles and nodes. Large groups are split by shingle, and a shingle of more
+than BLOCK nodes is a group of its own, split to pairs of blocks of nodes. Each of
 these steps is exact: none drops a link that could join two components.
 
 Defined results: a null or empty text, or one without words, has no shingles, no
@@ -55,8 +57,8 @@ LEAST_MATCHES, MOST_MATCHES = 5, 10
 MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
 #: Cells of a set's histogram; sets that overfill one go without.
 CELLS = 256
-#: Nodes of one shingle that meet in one group.
-BLOCK = 2_000
+#: Nodes of one shingle that meet in one group, and rows of shingles and nodes that do.
+BLOCK, GROUP_ROWS = 2_000, 50_000
 #: Rows up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -284,30 +286,40 @@ def _payloads(texts: DataFrame, order: ShingleOrder) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, PAYLOAD)
 
 
-def candidates(shingle: int, nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple]) -> list[tuple[int, int]]:
-    """Pairs of a shingle's nodes, of different components, that may be linked and
-    share no smaller shingle.
+def candidates(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple]) -> list[tuple[int, int]]:
+    """Pairs of a group's nodes, of different components, that may be linked and
+    whose first shared shingle is one of the group's.
 
     ``left``, ``right``: whether a node stands on that side of the pair of blocks.
-    ``payload``: n, size of the prefix, l, end, shared shingles and cells of each node.
+    ``payload``: n, size of the prefix, l, end, shingles of the group, all shared
+    shingles, and cells of each node.
     """
     n, size, matches = (np.array([p[k] for p in payload]) for k in range(3))
     by_end = {e: k for k, e in enumerate(sorted({p[3] for p in payload}))}
     end = np.array([by_end[p[3]] for p in payload])
-    shingles = [p[4] for p in payload]
-    exact = np.array([bool(len(p[5])) for p in payload])
-    cells = np.array([p[5] if len(p[5]) else np.full(CELLS, 255, dtype=np.uint8) for p in payload])
+    own, shared = [p[4] for p in payload], [p[5] for p in payload]
+    exact = np.array([bool(len(p[6])) for p in payload])
+    cells = np.array([p[6] if len(p[6]) else np.full(CELLS, 255, dtype=np.uint8) for p in payload])
+    # The nodes of each shingle, as ranges of one array.
+    lengths = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+    everything = np.concatenate(own)
+    order = np.argsort(everything, kind="stable")
+    holders = np.repeat(np.arange(len(own)), lengths)[order]
+    ordered = everything[order]
     found = []
     for x in np.flatnonzero(left):
-        others = np.flatnonzero(right & (components != components[x]))
+        first, last = np.searchsorted(ordered, own[x]), np.searchsorted(ordered, own[x], side="right")
+        others = np.unique(np.concatenate([holders[a:b] for a, b in zip(first.tolist(), last.tolist())]))
+        others = others[right[others] & (components[others] != components[x])]
         others = others[(others > x) | ~left[others]] if right[x] else others
         least = needed(n[x], n[others])
         fits = np.minimum(n[x], n[others]) >= least
         most = np.minimum(cells[others], cells[x]).sum(axis=1, dtype=np.int64)
         fits &= (most >= least) | ~exact[others] | ~exact[x]
         for y, need in zip(others[fits].tolist(), least[fits].tolist()):
-            common = np.intersect1d(shingles[x], shingles[y], assume_unique=True)
-            if common[0] != shingle or len(common) < min(matches[x], matches[y]):
+            common = np.intersect1d(shared[x], shared[y], assume_unique=True)
+            at = np.searchsorted(own[x], common[0])
+            if at == len(own[x]) or own[x][at] != common[0] or len(common) < min(matches[x], matches[y]):
                 continue
             # Shingles past the earlier end: at most what is left of the set that ends there.
             rest = min(n[z] - size[z] for z in (x, y) if end[z] == min(end[x], end[y]))
@@ -316,39 +328,52 @@ def candidates(shingle: int, nodes: np.ndarray, components: np.ndarray, left: np
     return found
 
 
+_GROUP = ("label", "part", "i", "j")
+
+
 def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by shingle, i, j; a group that spans batches is carried over."""
+    """Rows come sorted by group; a group that spans batches is carried over."""
     held: list[pa.RecordBatch] = []
 
     def solve(table: pa.Table) -> list[tuple[int, int]]:
         block = table.column("block").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        lists = [table.column(c).to_numpy() for c in ("own", "shared")]
         ends = zip(table.column("end_docs").to_pylist(), table.column("end_shingle").to_pylist())
-        rows = zip(table.column("n").to_pylist(), table.column("size").to_pylist(), table.column("matches").to_pylist(), ends, table.column("shared").to_numpy(), table.column("cells").to_pylist())
-        payload = [(n, size, m, e, shared, np.frombuffer(c, dtype=np.uint8)) for n, size, m, e, shared, c in rows]
-        return candidates(table.column("shingle")[0].as_py(), table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload)
+        cells = [np.frombuffer(c, dtype=np.uint8) for c in table.column("cells").to_pylist()]
+        payload = list(zip(*[table.column(c).to_pylist() for c in ("n", "size", "matches")], ends, *lists, cells))
+        return candidates(table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload)
 
     def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = ([min(p) for p in pairs], [max(p) for p in pairs])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    def groups(table: pa.Table) -> list[int]:
-        keys = [table.column(c).to_numpy() for c in ("shingle", "i", "j")]
+    def cuts_of(table: pa.Table) -> list[int]:
         change = np.zeros(table.num_rows, dtype=bool)
-        for k in keys:
+        for k in (table.column(c).to_numpy() for c in _GROUP):
             change[1:] |= k[1:] != k[:-1]
         return [0, *np.flatnonzero(change).tolist(), table.num_rows]
 
     for batch in batches:
         held.append(batch)
         table = pa.Table.from_batches(held).combine_chunks()
-        cuts = groups(table)
+        cuts = cuts_of(table)
         yield out([p for a, b in zip(cuts[:-2], cuts[1:-1]) for p in solve(table.slice(a, b - a))])
         held = table.slice(cuts[-2]).to_batches()
     if held:
         yield out(solve(pa.Table.from_batches(held).combine_chunks()))
 
 
+def _labelled(members: DataFrame) -> DataFrame:
+    """Add label: equal for shingles that share nodes, if not always. The least
+    shingle of a node spreads to the node's shingles and, once more, on from there."""
+    node = members.groupBy("node").agg(F.min("shingle").alias("first"))
+    for _ in range(2):
+        shingle = members.join(node, "node").groupBy("shingle").agg(F.min("first").alias("label"))
+        node = members.join(shingle, "shingle").groupBy("node").agg(F.min("label").alias("first"))
+    return members.join(shingle, "shingle")
+
+
 def _joining(members: DataFrame) -> DataFrame:
     """shingle of those whose members are of different components."""
     return members.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
@@ -369,11 +394,16 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
     payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
     sizes = members.groupBy("shingle").agg(F.count("*").alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    carried = members.drop("need").join(sizes, "shingle").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = carried.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks", "members")
-    sorted_groups = spread.join(payload, "node").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+    placed = materialise(_labelled(members.drop("need")).join(sizes, "shingle"))
+    large = F.col("members") > BLOCK
+    of_label = placed.where(~large).groupBy("label").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
+    together = placed.where(~large).join(_hinted(of_label), "label").withColumn("part", F.pmod(F.xxhash64("shingle"), F.col("parts")).cast("int"))
+    together = together.select("label", "part", "node", "component", "shingle", F.lit(1).alias("blocks"))
+    alone = placed.where(large).select(F.col("shingle").alias("label"), F.lit(-1).alias("part"), "node", "component", "shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    rows = together.unionByName(alone).groupBy("label", "part", "node", "component", "blocks").agg(F.array_sort(F.collect_list("shingle")).alias("own"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    sorted_groups = rows.join(payload, "node").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     return materialise(sorted_groups.mapInArrow(_group_candidates, "a long, b long").distinct())
 
 
