@@ -374,6 +374,16 @@ def _labelled(members: DataFrame) -> DataFrame:
     return members.join(shingle, "shingle")
 
 
+def _star_pairs(minima: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components of each min-hash's representative a, the node of
+    most links, and the other nodes b that have it."""
+    first = F.max_by(F.struct("node", "n", "component"), F.struct("links", F.xxhash64("node", "k")))
+    best = minima.groupBy("k", "value").agg(first.alias("best"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    near = F.least("n", "best.n") * 100 >= F.greatest("n", "best.n") * PERCENT
+    met = minima.join(best.select("k", "value", "best"), ["k", "value"]).where((F.col("component") != F.col("best.component")) & near)
+    return met.select(F.col("best.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
 def _joining(members: DataFrame) -> DataFrame:
     """shingle of those whose members are of different components."""
     return members.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
@@ -421,10 +431,14 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     nodes = rows.where("n > 0").select("node", "n", "text_hash")
 
     minima = rows.where("n > 0").select("node", "n", F.posexplode("mins").alias("k", "value"))
-    best = minima.groupBy("k", "value").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", "k")).alias("best"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    near = F.least("n", "best.n") * 100 >= F.greatest("n", "best.n") * PERCENT
-    stars = minima.join(best, ["k", "value"]).where((F.col("node") != F.col("best.node")) & near).select(F.col("best.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_verified(materialise(stars), docs, text, nodes))
+    stars = materialise(_star_pairs(minima.withColumns({"component": F.col("node"), "links": F.lit(0)})))
+    links = materialise(_verified(stars, docs, text, nodes))
+    component = connected(links)
+    # Once more from the nodes that most were linked to: they are amid their group.
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    again = _with_component(minima, _hinted(component)).join(_hinted(materialise(linked)), "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    stars = materialise(_star_pairs(again).join(_hinted(stars), ["a", "b"], "left_anti"))
+    links = materialise(links.unionByName(_verified(stars, docs, text, nodes)))
     component = connected(links)
     more = materialise(_verified(_cross_pairs(docs, text, nodes, order, component), docs, text, nodes))
     merged = more.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b")))
