@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -31,6 +32,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files and checkpoints of plans that are done.
+
+    Spark deletes them when the driver's garbage is collected, which many small jobs
+    in a row don't bring about by themselves.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def prepare_workers(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch, and send workers this package.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialise
+from tillroll.llm.common import materialise, release
 
 
 def _to_least(pairs: DataFrame) -> DataFrame:
@@ -35,6 +35,8 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
         small = _to_least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         pairs = materialise(small.where("u <> v").distinct())
+        del both, large, small
+        release(pairs.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     node = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))

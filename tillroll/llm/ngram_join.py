@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialise, prepare_workers, read_table
+from tillroll.llm.common import materialise, prepare_workers, read_table, release
 from tillroll.llm.components import connected
 from tillroll.llm.shingles import mix, overlap, set_digest, shingle_sets
 
@@ -400,6 +400,7 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
         members = members.join(_joining(members), "shingle", "left_semi")
         enough = members.groupBy("node").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("node")
         members = members.join(enough, "node", "left_semi")
+        release(docs.sparkSession)
     members = materialise(members)
     shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
     payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
