@@ -2,10 +2,13 @@
 
 Each text gives a fixed number of statistics of its characters, words and lines,
 transformed to be roughly bell-shaped. Each class's covariance is shrunk towards
-the pooled one and that towards its diagonal; its Cholesky factor is kept, and the
-difference of the classes' log densities, from Mahalanobis distances by
-triangular solves with the factors, is the evidence. A logistic curve fitted to the
-training rows' evidence turns it into a score.
+the pooled one and that towards its diagonal; its Cholesky factor is kept with its
+inverse, and the difference of the classes' log densities, from Mahalanobis
+distances by the factors, is the evidence. A logistic curve fitted to the training
+rows' evidence turns it into a score.
+
+Products over rows go through ``einsum``: a driver that has started a JVM is a forked
+process, and threaded linear algebra on large arrays may wait forever in one.
 
 Fitting takes at most ``max_rows`` labelled documents, the first by seeded hash of
 their id; scoring is one pass over every whole text, with nothing shuffled.
@@ -94,13 +97,16 @@ class Discriminant:
     offset: float
     constant: float | None = None
 
+    def __post_init__(self) -> None:
+        self.inverses = np.linalg.solve(self.factors, np.broadcast_to(np.eye(self.factors.shape[-1]), self.factors.shape))
+
     def evidence(self, rows: np.ndarray) -> np.ndarray:
         """Log density under class 1 less that under class 0."""
         rows = (rows - self.centre) / self.scale
         density = []
-        for mean, factor, constant in zip(self.means, self.factors, self.constants):
-            solved = np.linalg.solve(factor, (rows - mean).T)
-            density.append(constant - 0.5 * (solved**2).sum(axis=0))
+        for mean, inverse, constant in zip(self.means, self.inverses, self.constants):
+            solved = np.einsum("ij,nj->ni", inverse, rows - mean)
+            density.append(constant - 0.5 * (solved**2).sum(axis=1))
         return np.clip(density[1] - density[0], -MOST_EVIDENCE, MOST_EVIDENCE)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -118,7 +124,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, to_pooled: float = TO_POOLED, to_d
     z = (rows - centre) / scale
     groups = [z[labels == c] for c in (0, 1)]
     means = np.stack([g.mean(axis=0) for g in groups])
-    scatter = [(g - m).T @ (g - m) for g, m in zip(groups, means)]
+    scatter = [np.einsum("ni,nj->ij", g - m, g - m) for g, m in zip(groups, means)]
     pooled = sum(scatter) / max(len(z) - 2, 1)
     pooled = (1 - to_diagonal) * pooled + to_diagonal * np.diag(np.diag(pooled)) + 1e-4 * np.eye(d)
     factors = []
@@ -144,9 +150,9 @@ def logistic(evidence: np.ndarray, labels: np.ndarray, balance: float = 0.0, rid
     w = np.array([0.0, 0.0])
     penalty = np.diag([ridge, 1e-6])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (weight * (p - y)) + penalty @ w
-        step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, gradient)
+        p = 1 / (1 + np.exp(-np.clip(w[0] * evidence + w[1], -500, 500)))
+        gradient = np.einsum("ni,n->i", x, weight * (p - y)) + penalty @ w
+        step = np.linalg.solve(np.einsum("ni,nj,n->ij", x, x, weight * p * (1 - p) + 1e-9) + penalty, gradient)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
