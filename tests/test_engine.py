@@ -192,10 +192,10 @@ def test_metrics_of_nothing_are_null_or_zero(spark):
 
 def test_sampling_ratio_and_weights(spark):
     df = spark.range(2000).select(F.col("id").cast("int").alias("customer_id"), F.lit("i").alias("item_id"), (F.col("id") % 20 == 0).cast("int").alias("target"), F.col("id").alias("pop"))
-    got = sampling.sample_training(df, 3.0, max_rows=None, buckets=4)
+    got = sampling.sample_training(df, 3.0, max_rows=None, batch_rows=500)
     counts = {r.target: r["count"] for r in got.groupBy("target").count().collect()}
     assert counts == {1: 100, 0: 300}
-    assert got.exceptAll(sampling.sample_training(df, 3.0, max_rows=None, buckets=4)).count() == 0
+    assert got.exceptAll(sampling.sample_training(df, 3.0, max_rows=None, batch_rows=500)).count() == 0
     weights = sampling.popular_negative_weights(df, "pop", 0.5)
     assert weights.agg(F.max("weight"), F.min("weight")).first()[:] == (1.5, 1.0)
     assert sampling.popular_negative_weights(df, "absent", 0.5) is None

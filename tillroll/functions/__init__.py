@@ -26,11 +26,6 @@ def total(c: str | Column) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
-def n_unique(c: str | Column) -> Column:
-    """Distinct values, null counting as one."""
-    return F.count_distinct(col(c)) + F.coalesce(F.max(col(c).isNull().cast("long")), F.lit(0))
-
-
 def n_set(c: str | Column) -> Column:
     """Distinct non-null values by a set for each group: for groups of bounded size.
 

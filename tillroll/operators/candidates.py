@@ -2,13 +2,17 @@
 
 Sources rank by counts; ties go to the smaller key, so results are the same in
 every run. Item rankings are over the whole history.
+
+Sources take a history's lines or, cheaper where several are made, its cells from
+:func:`purchase_cells`: one aggregation that all but co-purchases start from.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import top_overall, top_per_key, total
@@ -37,6 +41,18 @@ def filter_user_chunk(users: DataFrame, chunk: int, n_chunks: int) -> DataFrame:
     return users if n_chunks <= 1 else users.where(F.pmod(F.col("customer_id").cast("long"), F.lit(n_chunks)) == chunk)
 
 
+def purchase_cells(hist: DataFrame) -> DataFrame:
+    """Lines counted by customer, item and place: n_lines, quantity, updated_date (the last)."""
+    return hist.groupBy("customer_id", "item_id", "location").agg(
+        F.count("*").alias("n_lines"), F.sum("quantity").alias("quantity"), F.max("updated_date").alias("updated_date")
+    )
+
+
+def n_lines(hist: DataFrame) -> Column:
+    """Number of lines of a group of lines or cells."""
+    return F.sum("n_lines") if "n_lines" in hist.columns else F.count("*")
+
+
 def _of(hist: DataFrame, active: DataFrame) -> DataFrame:
     return hist.join(active, "customer_id", "left_semi")
 
@@ -47,14 +63,14 @@ def _named(df: DataFrame, source: str | None) -> DataFrame:
 
 def recent_candidates(hist: DataFrame, active: DataFrame, top_k: int = 20, source: str | None = "recent") -> DataFrame:
     """Items that a customer bought last."""
-    bought = _of(hist, active).groupBy("customer_id", "item_id").agg(F.max("updated_date").alias("seen"), F.count("*").alias("n")).where(F.col("seen").isNotNull())
+    bought = _of(hist, active).groupBy("customer_id", "item_id").agg(F.max("updated_date").alias("seen"), n_lines(hist).alias("n")).where(F.col("seen").isNotNull())
     top = top_per_key(bought, ["customer_id"], [F.desc("seen"), F.desc("n"), F.asc("item_id")], top_k, "recent_rank")
     return _named(top.select("customer_id", "item_id", "recent_rank"), source)
 
 
 def frequent_items(hist: DataFrame, active: DataFrame, top_k: int, rank: str) -> DataFrame:
     """Items that a customer bought most often."""
-    bought = _of(hist, active).groupBy("customer_id", "item_id").agg(F.count("*").alias("n"), total("quantity").alias("q"))
+    bought = _of(hist, active).groupBy("customer_id", "item_id").agg(n_lines(hist).alias("n"), total("quantity").alias("q"))
     return top_per_key(bought, ["customer_id"], [F.desc("n"), F.desc("q"), F.asc("item_id")], top_k, rank).select("customer_id", "item_id", rank)
 
 
@@ -65,7 +81,7 @@ def frequent_candidates(hist: DataFrame, active: DataFrame, top_k: int = 20, sou
 def _popularity(hist: DataFrame, *keys: str) -> DataFrame:
     """Distinct customers, rows and quantity by key: by customer first, so that a
     popular key's customers are counted and not gathered."""
-    each = hist.groupBy(*keys, "customer_id").agg(F.count("*").alias("n"), total("quantity").alias("q"))
+    each = hist.groupBy(*keys, "customer_id").agg(n_lines(hist).alias("n"), total("quantity").alias("q"))
     return each.groupBy(*keys).agg(F.count("*").alias("n_customers"), F.sum("n").alias("n_transactions"), F.sum("q").alias("total_quantity"))
 
 
@@ -81,7 +97,7 @@ def category_popular_candidates(
 ) -> DataFrame:
     """Items of most customers within the categories that a customer buys most."""
     known = hist.join(items.select("item_id", category_col), "item_id").where(F.col(category_col).isNotNull())
-    own = _of(known, active).groupBy("customer_id", category_col).agg(F.count("*").alias("n"))
+    own = _of(known, active).groupBy("customer_id", category_col).agg(n_lines(known).alias("n"))
     own = top_per_key(own, ["customer_id"], [F.desc("n"), F.asc(category_col)], user_top_categories, "user_category_rank")
     best = _top_items(known, category_col, items_per_category, "category_item_rank")
     return _named(own.join(best, category_col).select("customer_id", "item_id", "user_category_rank", "category_item_rank"), source)
@@ -92,7 +108,7 @@ def location_popular_candidates(
 ) -> DataFrame:
     """Items of most customers at the places where a customer buys most."""
     known = hist.where(F.col("location").isNotNull())
-    own = _of(known, active).groupBy("customer_id", "location").agg(F.count("*").alias("n"), F.max("updated_date").alias("seen"))
+    own = _of(known, active).groupBy("customer_id", "location").agg(n_lines(known).alias("n"), F.max("updated_date").alias("seen"))
     own = top_per_key(own, ["customer_id"], [F.desc("n"), F.desc("seen"), F.asc("location")], user_top_locations, "user_location_rank")
     best = _top_items(known, "location", items_per_location, "location_item_rank")
     return _named(own.join(best, "location").select("customer_id", "item_id", "user_location_rank", "location_item_rank"), source)
@@ -120,26 +136,41 @@ def cooccurrence_pairs(hist: DataFrame, anchors: DataFrame, co_top_k: int, max_b
 
 
 def cooccurrence_candidates(
-    hist: DataFrame, active: DataFrame, anchor_top_k: int = 20, co_top_k: int = 10, max_bill_items: int = 30, source: str | None = "cooccurrence"
+    hist: DataFrame,
+    active: DataFrame,
+    anchor_top_k: int = 20,
+    co_top_k: int = 10,
+    max_bill_items: int = 30,
+    source: str | None = "cooccurrence",
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
-    """Items bought along with a customer's most frequent ones; a pair may come by several."""
-    own = frequent_items(hist, active, anchor_top_k, "anchor_rank").select("customer_id", F.col("item_id").alias("anchor_item_id"))
+    """Items bought along with a customer's most frequent ones; a pair may come by several.
+
+    ``frequent``, if given, holds the ``anchor_top_k`` items of each customer; else
+    they are taken from ``hist``. Lines of bills are needed of ``hist``, not cells.
+    """
+    if frequent is None:
+        frequent = frequent_items(hist, active, anchor_top_k, "anchor_rank")
+    own = frequent.select("customer_id", F.col("item_id").alias("anchor_item_id"))
     pairs = cooccurrence_pairs(hist, own.select("anchor_item_id").distinct(), co_top_k, max_bill_items)
     return _named(own.join(pairs, "anchor_item_id").select("customer_id", "item_id", "cooccurrence_rank"), source)
 
 
 def merge_candidates(sources: list[DataFrame]) -> DataFrame:
-    """One row for each customer and item: flags, number of sources, least ranks."""
+    """One row for each customer and item: flags, number of sources, least ranks.
+
+    Sources without a name, or with one of their own, count as one source.
+    """
     padded = []
     for df in sources:
         df = df if "candidate_source" in df.columns else df.withColumn("candidate_source", F.lit("unknown"))
         padded.append(df.withColumns({r: F.lit(None).cast("int") for r in RANKS if r not in df.columns}))
     rows = reduce(DataFrame.unionByName, padded)
     has = lambda s: F.max((F.col("candidate_source") == s).cast("byte"))
-    # A handful of sources: their set is small, and the aggregation stays one step.
+    other = F.max((~F.col("candidate_source").isin(*SOURCE_FLAGS)).cast("byte"))
     return rows.groupBy("customer_id", "item_id").agg(
         *[has(s).alias(f) for s, f in SOURCE_FLAGS.items()],
-        F.size(F.collect_set("candidate_source")).alias("n_candidate_sources"),
+        sum((has(s).cast("int") for s in SOURCE_FLAGS), other.cast("int")).alias("n_candidate_sources"),
         *[F.coalesce(F.min(r), F.lit(ABSENT_RANK)).cast("int").alias(r) for r in RANKS],
     )
 
@@ -162,16 +193,24 @@ def build_candidates(
     co_top_k: int = 8,
     max_bill_items: int = 20,
     co_hist: DataFrame | None = None,
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Merged candidates; sources without a size are left out. Co-purchases may come
-    from a history of their own, ``co_hist``."""
-    sources = [recent_candidates(hist, active, recent_top_k), frequent_candidates(hist, active, frequent_top_k)]
+    from a history of their own, ``co_hist``.
+
+    ``cut`` is applied to what several sources start from: active customers, cells
+    and frequent items. Where it writes them, the history is read three times in all.
+    """
+    active, cells = cut(active), cut(purchase_cells(hist))
+    frequent = cut(frequent_items(cells, active, frequent_top_k, "frequent_rank"))
+    sources = [recent_candidates(cells, active, recent_top_k), _named(frequent, "frequent")]
     if popular_top_k > 0:
-        sources.append(popular_candidates(hist, active, popular_top_k))
+        sources.append(popular_candidates(cells, active, popular_top_k))
     if user_top_categories > 0 and items_per_category > 0:
-        sources.append(category_popular_candidates(hist, items, active, category_col, user_top_categories, items_per_category))
+        sources.append(category_popular_candidates(cells, items, active, category_col, user_top_categories, items_per_category))
     if user_top_locations > 0 and items_per_location > 0:
-        sources.append(location_popular_candidates(hist, active, user_top_locations, items_per_location))
+        sources.append(location_popular_candidates(cells, active, user_top_locations, items_per_location))
     if include_cooccurrence:
-        sources.append(cooccurrence_candidates(hist if co_hist is None else co_hist, active, anchor_top_k, co_top_k, max_bill_items))
+        same = frequent if co_hist is None and anchor_top_k == frequent_top_k else None
+        sources.append(cooccurrence_candidates(hist if co_hist is None else co_hist, active, anchor_top_k, co_top_k, max_bill_items, frequent=same))
     return merge_candidates(sources)

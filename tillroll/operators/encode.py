@@ -45,13 +45,12 @@ def build_category_mappings(df: DataFrame, cat: Iterable[str]) -> DataFrame:
 
     Null counts as the value "unknown", whose own place stays unused.
     """
-    # One task sorts a column's distinct values, not its rows.
-    values = None
-    for c in cat:
-        one = df.select(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("value")).distinct()
-        values = one if values is None else values.unionByName(one)
-    if values is None:
+    cat = list(cat)
+    if not cat:
         return df.sparkSession.createDataFrame([], "column string, value string, code int")
+    # One pass over the rows for all columns; one task sorts a column's distinct values.
+    shown = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("value")) for c in cat]
+    values = df.select(F.explode(F.array(*shown)).alias("x")).select("x.column", "x.value").distinct()
     place = F.row_number().over(Window.partitionBy("column").orderBy("value"))
     return values.withColumn("code", F.when(F.col("value") == UNKNOWN, 0).otherwise(place).cast("int"))
 

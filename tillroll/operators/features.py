@@ -6,13 +6,15 @@ if not given. "Within 30 days" takes both ends, so 31 calendar days.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import days_between, mean, n_set, nearest_quantile, rate, ratio, total, within_days
-from tillroll.sources import sink_dataset
+from tillroll.operators.candidates import n_lines, purchase_cells
+from tillroll.sources import materialise_all, sink_dataset
 
 #: Item columns that have customer features, and the prefix of each.
 TAXONOMY = {"category_l1": "ul1", "category_l2": "ul2", "category_l3": "ul3", "category": "uc", "brand": "ub", "manufacturer": "uman"}
@@ -71,21 +73,31 @@ def make_user_features(hist: DataFrame, max_date: Column) -> DataFrame:
     return user.withColumns({name: F.try_divide(F.col(c).cast("double"), F.col("user_n_bills")) for name, c in per_bill.items()})
 
 
-def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column) -> DataFrame:
-    """Of each item: by customer first, so that a popular item's customers and lines
-    are reduced before they meet."""
-    in30, in60 = within_days(max_date, 30), within_days(max_date, 60)
+def purchase_pairs(hist: DataFrame, max_date: Column) -> DataFrame:
+    """Lines of each customer and item: what item and pair features are made of."""
     sums = {"price": F.col("price"), "discount": F.col("discount"), "rate": discount_rate(), "on_sale": (F.col("discount") > 0).cast("int")}
-    each = hist.groupBy("item_id", "customer_id").agg(
+    return hist.groupBy("customer_id", "item_id").agg(
         F.count("*").alias("n"),
+        n_set("bill_id").alias("bills"),
         total("quantity").alias("q"),
         *[F.sum(c).alias(f"s_{k}") for k, c in sums.items()],
         *[F.count(c).alias(f"c_{k}") for k, c in sums.items()],
         F.min("date").alias("first"),
         F.max("date").alias("last"),
-        F.count_if(in30).alias("n30"),
-        F.count_if(in60).alias("n60"),
+        F.count_if(within_days(max_date, 30)).alias("n30"),
+        F.count_if(within_days(max_date, 60)).alias("n60"),
     )
+
+
+def bill_items(hist: DataFrame) -> DataFrame:
+    """Lines of each customer, bill and item: what basket features are made of."""
+    return hist.groupBy("customer_id", "bill_id", "item_id").agg(F.count("*").alias("n"), total("quantity").alias("q"), total(F.col("price") * F.col("quantity")).alias("value"))
+
+
+def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column, pairs: DataFrame | None = None, baskets: DataFrame | None = None) -> DataFrame:
+    """Of each item: by customer first, so that a popular item's customers and lines
+    are reduced before they meet. ``pairs`` and ``baskets`` as made of ``hist``, if at hand."""
+    each = purchase_pairs(hist, max_date) if pairs is None else pairs
     average = lambda k: F.try_divide(F.sum(f"s_{k}").cast("double"), F.sum(f"c_{k}"))
     item = each.groupBy("item_id").agg(
         F.sum("n").alias("item_n_transactions"),
@@ -102,22 +114,16 @@ def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column) -> Da
         F.sum("n30").alias("item_n_transactions_30d"),
         F.sum("n60").alias("item_n_transactions_60d"),
     )
-    bills = hist.groupBy("item_id").agg(F.count_distinct("bill_id").alias("item_n_bills"))
+    bills = (hist if baskets is None else baskets).groupBy("item_id").agg(F.count_distinct("bill_id").alias("item_n_bills"))
     whole = item.join(bills, "item_id").join(meta, "item_id", "left")
     return whole.withColumns({f"item_transaction_share_{d}d": ratio(f"item_n_transactions_{d}d", "item_n_transactions") for d in (30, 60)})
 
 
-def make_user_item_features(hist: DataFrame, max_date: Column) -> DataFrame:
+def make_user_item_features(hist: DataFrame, max_date: Column, pairs: DataFrame | None = None) -> DataFrame:
     """Of each customer and item, with the interval of repeats and how due the next is."""
-    pair = hist.groupBy("customer_id", "item_id").agg(
-        F.count("*").alias("ui_n_transactions"),
-        n_set("bill_id").alias("ui_n_bills"),
-        total("quantity").alias("ui_total_quantity"),
-        F.max("date").alias("ui_last_date"),
-        F.min("date").alias("ui_first_date"),
-        F.count(_when(within_days(max_date, 30), "item_id")).alias("ui_n_transactions_30d"),
-        F.count(_when(within_days(max_date, 60), "item_id")).alias("ui_n_transactions_60d"),
-    )
+    pairs = purchase_pairs(hist, max_date) if pairs is None else pairs
+    named = {"n": "ui_n_transactions", "bills": "ui_n_bills", "q": "ui_total_quantity", "last": "ui_last_date", "first": "ui_first_date", "n30": "ui_n_transactions_30d", "n60": "ui_n_transactions_60d"}
+    pair = pairs.select("customer_id", "item_id", *[F.col(c).alias(name) for c, name in named.items()])
     pair = pair.withColumns({"ui_recency_days": days_between("ui_last_date", max_date), "ui_purchase_span_days": days_between("ui_first_date", "ui_last_date")})
     interval = F.when(F.col("ui_n_bills") > 1, F.col("ui_purchase_span_days").cast("double") / (F.col("ui_n_bills") - 1).cast("double"))
     pair = pair.withColumn("ui_avg_repeat_interval_days", F.coalesce(interval, F.lit(float(NEVER))))
@@ -125,43 +131,65 @@ def make_user_item_features(hist: DataFrame, max_date: Column) -> DataFrame:
     return pair.withColumn("ui_repeat_due_ratio", F.coalesce(due, F.lit(0.0)))
 
 
-def make_user_taxonomy_features(hist: DataFrame, meta: DataFrame, column: str, prefix: str, max_date: Column) -> DataFrame:
-    """Of each customer and value of an item column; items without a value are left out."""
-    known = hist.join(meta.where(F.col(column).isNotNull()).select("item_id", column), "item_id")
-    return known.groupBy("customer_id", column).agg(
+def _taxonomy_aggregates(prefix: str, max_date: Column) -> list[Column]:
+    return [
         F.count("*").alias(f"{prefix}_n_transactions"),
         n_set("bill_id").alias(f"{prefix}_n_bills"),
         total("quantity").alias(f"{prefix}_total_quantity"),
         F.count(_when(within_days(max_date, 30), "item_id")).alias(f"{prefix}_n_transactions_30d"),
         days_between(F.max("date"), max_date).alias(f"{prefix}_recency_days"),
-    )
+    ]
 
 
-def make_user_basket_features(hist: DataFrame) -> DataFrame:
+def make_user_taxonomy_features(hist: DataFrame, meta: DataFrame, column: str, prefix: str, max_date: Column) -> DataFrame:
+    """Of each customer and value of an item column; items without a value are left out."""
+    known = hist.join(meta.where(F.col(column).isNotNull()).select("item_id", column), "item_id")
+    return known.groupBy("customer_id", column).agg(*_taxonomy_aggregates(prefix, max_date))
+
+
+def make_taxonomy_table(hist: DataFrame, meta: DataFrame, max_date: Column) -> DataFrame:
+    """Those of all item columns in one pass over the lines: a grouping set for each, ``kind`` its column."""
+    known = hist.join(meta.select("item_id", *TAXONOMY), "item_id")
+    sets = [["customer_id", c] for c in TAXONOMY]
+    grouped = known.groupingSets(sets, "customer_id", *TAXONOMY).agg(*[F.grouping(c).alias(f"__{c}") for c in TAXONOMY], *_taxonomy_aggregates("t", max_date))
+    kind = F.coalesce(*[F.when(F.col(f"__{c}") == 0, F.lit(c)) for c in TAXONOMY])
+    value = F.coalesce(*[F.when(F.col(f"__{c}") == 0, F.col(c)) for c in TAXONOMY])
+    return grouped.withColumns({"kind": kind, "value": value}).where("value IS NOT NULL").drop(*TAXONOMY, *[f"__{c}" for c in TAXONOMY])
+
+
+def taxonomy_of(table: DataFrame, column: str, prefix: str) -> DataFrame:
+    """One column's features from :func:`make_taxonomy_table`'s."""
+    named = [F.col(c).alias(f"{prefix}{c.removeprefix('t')}") for c in table.columns if c.startswith("t_")]
+    return table.where(F.col("kind") == column).select("customer_id", F.col("value").alias(column), *named)
+
+
+def make_user_basket_features(hist: DataFrame, baskets: DataFrame | None = None) -> DataFrame:
     """Averages over a customer's bills."""
-    bills = hist.groupBy("customer_id", "bill_id").agg(
-        F.count("*").alias("lines"), n_set("item_id").alias("items"), total("quantity").alias("quantity"), total(F.col("price") * F.col("quantity")).alias("value")
-    )
+    baskets = bill_items(hist) if baskets is None else baskets
+    bills = baskets.groupBy("customer_id", "bill_id").agg(F.sum("n").alias("lines"), F.count("item_id").alias("items"), F.sum("q").alias("quantity"), F.sum("value").alias("value"))
     named = {"lines": "user_avg_bill_lines", "items": "user_avg_bill_items", "quantity": "user_avg_bill_quantity", "value": "user_avg_bill_value_from_bills"}
     return bills.groupBy("customer_id").agg(*[mean(c).alias(n) for c, n in named.items()])
 
 
-def make_item_basket_features(hist: DataFrame) -> DataFrame:
+def make_item_basket_features(hist: DataFrame, baskets: DataFrame | None = None) -> DataFrame:
     """Averages of the bills that an item is on, each of its lines counting."""
-    bills = hist.groupBy("bill_id").agg(F.count_distinct("item_id").alias("items"), total(F.col("price") * F.col("quantity")).alias("value"))
-    lines = hist.select("bill_id", "item_id").join(bills, "bill_id", "left")
-    return lines.groupBy("item_id").agg(mean("items").alias("item_avg_bill_items"), mean("value").alias("item_avg_bill_value"))
+    baskets = bill_items(hist) if baskets is None else baskets
+    bills = baskets.groupBy("bill_id").agg(F.count_distinct("item_id").alias("items"), F.sum("value").alias("bill_value"))
+    lines = baskets.select("bill_id", "item_id", "n").join(bills, "bill_id")
+    average = lambda c: F.try_divide(F.sum(F.col(c) * F.col("n")).cast("double"), F.sum("n"))
+    return lines.groupBy("item_id").agg(average("items").alias("item_avg_bill_items"), average("bill_value").alias("item_avg_bill_value"))
 
 
 def make_user_main_location(hist: DataFrame) -> DataFrame:
-    """The place of most of a customer's lines; ties to the smaller, null last."""
-    counted = hist.groupBy("customer_id", "location").agg(F.count("*").alias("n"))
+    """The place of most of a customer's lines; ties to the smaller, null last. From lines or cells."""
+    counted = hist.groupBy("customer_id", "location").agg(n_lines(hist).alias("n"))
     best = F.max_by("location", F.struct("n", F.coalesce(-F.col("location").cast("long"), F.lit(-(2**62)))))
     return counted.groupBy("customer_id").agg(best.alias("user_main_location"), F.max("n").alias("user_main_location_transactions"))
 
 
 def make_item_location_features(hist: DataFrame) -> DataFrame:
-    each = hist.groupBy("item_id", "location", "customer_id").agg(F.count("*").alias("n"))
+    """Lines and customers of each item and place. From lines or cells."""
+    each = hist.groupBy("item_id", "location", "customer_id").agg(n_lines(hist).alias("n"))
     places = each.groupBy("item_id", "location").agg(F.sum("n").alias("item_location_transactions"), F.count("*").alias("item_location_customers"))
     return places.withColumnRenamed("location", "user_main_location")
 
@@ -183,6 +211,34 @@ def make_feature_sources(hist: DataFrame, items: DataFrame, max_date: Column | N
     }
 
 
+def make_written_sources(hist: DataFrame, items: DataFrame, max_date: Column | None = None, write: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] = materialise_all) -> dict[str, DataFrame]:
+    """The thirteen tables, written once from five passes over the lines.
+
+    The passes: customers; customers and items; bills and items; customers, items and
+    places; customers and item columns. ``write`` writes named tables and returns them
+    read back; joins of what it returns know the tables' sizes.
+    """
+    max_date = max_date_of(hist) if max_date is None else max_date
+    meta = make_item_meta(items)
+    passes = write({
+        "user": make_user_features(hist, max_date),
+        "pairs": purchase_pairs(hist, max_date),
+        "baskets": bill_items(hist),
+        "cells": purchase_cells(hist),
+        "taxonomy": make_taxonomy_table(hist, meta, max_date),
+    })
+    pairs, baskets, cells = passes["pairs"], passes["baskets"], passes["cells"]
+    small = write({
+        "user_basket": make_user_basket_features(hist, baskets),
+        "user_main_location": make_user_main_location(cells),
+        "item": make_item_features(hist, meta, max_date, pairs, baskets),
+        "item_basket": make_item_basket_features(hist, baskets),
+        "item_location": make_item_location_features(cells),
+    })
+    taxonomy = {f"user_{column}": taxonomy_of(passes["taxonomy"], column, prefix) for column, prefix in TAXONOMY.items()}
+    return {"user": passes["user"], **small, **taxonomy, "user_item": make_user_item_features(hist, max_date, pairs)}
+
+
 #: The columns on which each table is joined.
 JOIN_KEYS = {
     "user": ["customer_id"],
@@ -229,13 +285,9 @@ def build_features(hist: DataFrame, dataset: DataFrame, items: DataFrame, max_da
     return join_features(dataset, make_feature_sources(hist, items, max_date))
 
 
-def materialize_feature_sources(sources: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
-    """Write each table once under ``path`` and return them read back."""
-    return {name: sink_dataset(df, f"{path}/{name}") for name, df in sources.items()}
-
-
 def make_cached_feature_sources(hist: DataFrame, items: DataFrame, path: str, max_date: Column | None = None) -> dict[str, DataFrame]:
-    return materialize_feature_sources(make_feature_sources(hist, items, max_date), path)
+    """The thirteen tables, written once under ``path``."""
+    return make_written_sources(hist, items, max_date, lambda tables: {name: sink_dataset(df, f"{path}/{name}") for name, df in tables.items()})
 
 
 def build_feature_chunk(dataset: DataFrame, sources: dict[str, DataFrame], chunk: int, n_chunks: int) -> DataFrame:
@@ -243,8 +295,8 @@ def build_feature_chunk(dataset: DataFrame, sources: dict[str, DataFrame], chunk
     return join_features(dataset.where(F.pmod("customer_id", F.lit(n_chunks)) == chunk), sources)
 
 
-def build_features_chunked(hist: DataFrame, dataset: DataFrame, items: DataFrame, path: str) -> DataFrame:
+def build_features_chunked(hist: DataFrame, dataset: DataFrame, items: DataFrame, path: str, max_date: Column | None = None) -> DataFrame:
     """Features of all customers as one dataset under ``path``: Spark's partitions by
     customer are the chunks."""
-    sources = make_cached_feature_sources(hist, items, f"{path}/sources")
+    sources = make_cached_feature_sources(hist, items, f"{path}/sources", max_date)
     return sink_dataset(join_features(dataset.repartition("customer_id"), sources), f"{path}/features")

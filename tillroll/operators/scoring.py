@@ -13,7 +13,10 @@ def _unit(c: str) -> Column:
 
 
 def normalized_log_feature(df: DataFrame, column: str) -> Column:
-    """log1p of a column by its largest over all rows: 0 where that is 0."""
+    """log1p of a column by its largest over all rows: 0 where that is 0.
+
+    ``df`` is read once for the largest, so it should be a written table.
+    """
     value = F.log1p(F.greatest(F.coalesce(F.col(column).try_cast("double"), F.lit(0.0)), F.lit(0.0)))
     most = df.agg(F.max(value)).first()[0] or 0.0
     return value / F.lit(most) if most > 0 else F.lit(0.0)

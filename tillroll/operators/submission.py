@@ -59,6 +59,7 @@ def make_submission(
     """Predictions by rank, then a user's own fallback, then the global one, to k items.
 
     Fallbacks are for ``users`` only; those with nothing at all keep an empty list.
+    A list has k places, so k of the global items are enough for a user short of any.
     With ``rotate`` a customer starts in the global list at customer_id mod its length.
     """
     tier = lambda df, t, position: df.select("customer_id", "item_id", F.lit(t).alias("tier"), F.col(position).cast("long").alias("position"))
@@ -68,10 +69,12 @@ def make_submission(
         if fallback_by_user is not None:
             rows = rows.unionByName(tier(fallback_by_user.join(users, "customer_id", "left_semi"), 2, "position"))
         if fallback_items is not None:
-            whole = users.crossJoin(F.broadcast(fallback_items.withColumn("n", F.count("*").over(Window.partitionBy(F.lit(0))))))
-            if rotate:
-                whole = whole.withColumn("position", F.pmod(F.col("position") - 1 - F.col("customer_id"), F.col("n")))
-            rows = rows.unionByName(tier(whole, 3, "position"))
+            # Only users short of k items, and of the list as many items as can be missing.
+            having = rows.select("customer_id", "item_id").distinct().groupBy("customer_id").agg(F.count("*").alias("having"))
+            short = users.join(having.where(F.col("having") >= k), "customer_id", "left_anti")
+            whole = short.crossJoin(F.broadcast(fallback_items.withColumn("n", F.count("*").over(Window.partitionBy(F.lit(0))))))
+            place = F.pmod(F.col("position") - 1 - F.col("customer_id"), F.col("n")) if rotate else F.col("position") - 1
+            rows = rows.unionByName(tier(whole.withColumn("position", place).where(F.col("position") < k), 3, "position"))
     lists = as_lists(_first_places(rows, k))
     if users is not None:
         lists = lists.join(users, "customer_id", "full").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
@@ -105,7 +108,6 @@ def blend_submissions(base: DataFrame, extra: DataFrame, k: int = 10, base_keep:
     return base.select("customer_id").join(lists, "customer_id", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
 
 
-
 def item_concentration(submission: DataFrame, k: int = 10, tops: tuple[int, ...] = (1, 5, 10, 20, 50, 100)) -> DataFrame:
     """One row: users, slots, items, list lengths and the share of the most frequent items."""
     first = submission.select("customer_id", F.slice("items", 1, k).alias("items"))

@@ -47,11 +47,12 @@ class Pipeline:
 
     def _candidates(self, hist: DataFrame, name: str, train: bool = False, co_hist: DataFrame | None = None) -> DataFrame:
         active = C.get_active_users(hist, self.config.min_bills)
-        found = C.build_candidates(hist, self.items, active, co_hist=co_hist, **self.config.candidate_sizes(train))
+        found = C.build_candidates(hist, self.items, active, co_hist=co_hist, cut=sources.materialise, **self.config.candidate_sizes(train))
         return self._cut(found, f"{name}_candidates")
 
     def _features(self, hist: DataFrame, dataset: DataFrame, name: str) -> DataFrame:
-        return self._cut(features.build_features(hist, dataset, self.items), f"{name}_features")
+        tables = features.make_cached_feature_sources(hist, self.items, f"{self.work}/{name}_sources")
+        return self._cut(features.join_features(dataset, tables), f"{name}_features")
 
     def train(self) -> float:
         """Fit on the training split, keep the model under the work folder; holdout AUC."""
@@ -62,11 +63,14 @@ class Pipeline:
             dataset = self._cut(labels.make_labeled_dataset(cands, labels.make_ground_truth(self.parts["train_label"])), "train_labeled")
             wide = self._features(hist, dataset, "train")
         with log_time("matrix"):
-            matrix, spec, mappings = encode.prepare_train_matrix(wide, DROP_COLS, CAT_COLS, c.selected, c.blocked)
+            spec, mappings = encode.fit_preprocess(wide, DROP_COLS, CAT_COLS, c.selected, c.blocked)
             encode.save_preprocess(spec, mappings, f"{self.work}/preprocess")
+            spec, mappings = encode.load_preprocess(self.spark, f"{self.work}/preprocess")
+            matrix = self._cut(encode.prepare_valid_matrix(wide, spec, mappings), "train_matrix")
             sample = sampling.sample_training(matrix, c.negative_ratio, c.positive_fraction, c.max_train_rows, c.seed)
+            sample = self._cut(sample, "train_sample")
             weighed = sampling.popular_negative_weights(sample, c.weight_column, c.weight_alpha)
-            sample = self._cut(sample if weighed is None else weighed, "train_sample")
+            sample = sample if weighed is None else weighed
             if not sample.limit(1).count():
                 raise ValueError("the training sample is empty")
         with log_time("fit"):

@@ -7,55 +7,82 @@ have eight bills, baskets at most six items, and all six sources are on.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import candidates as C
 from tillroll.operators import eda, encode, features, labels, metrics, sampling, scoring, splits
 from tillroll.operators import submission as S
+from tillroll.plans.config import CAT_COLS, DROP_COLS
 from tillroll.plans.sql import MATRIX_CAT, MATRIX_NUMERIC
-from tillroll.sources import benchmark_items, benchmark_transactions
+from tillroll.sources import benchmark_items, benchmark_transactions, materialise, path_exists
 
 MIN_BILLS, MAX_BILL_ITEMS, RECENT, FREQUENT, CO_TOP = 8, 6, 15, 12, 8
 
 
 class Inputs:
-    """The relations that queries start from, each made when asked for."""
+    """The relations that queries start from, each made when asked for.
+
+    Transactions, a join of three tables, are written once for an application and
+    folder, by month, and read from there by all queries: time splits then read only
+    their months. What a query uses several times it writes once for itself.
+    """
+
+    _stored: dict[tuple[str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.tx = benchmark_transactions(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
         self.items = benchmark_items(spark, sf_dir)
-        parts = splits.make_time_splits(self.tx)
-        self.hist, self.label_tx = parts["valid_hist"], parts["valid_label"]
-        self.active = C.get_active_users(self.hist, MIN_BILLS)
-        self.truth = labels.make_ground_truth(self.label_tx)
-
-    def sources(self) -> list[DataFrame]:
-        return [C.recent_candidates(self.hist, self.active, RECENT), C.frequent_candidates(self.hist, self.active, FREQUENT), C.cooccurrence_candidates(self.hist, self.active, FREQUENT, CO_TOP, MAX_BILL_ITEMS)]
-
-    def all_sources(self) -> list[DataFrame]:
-        return [
-            *self.sources(),
-            C.popular_candidates(self.hist, self.active, 20),
-            C.category_popular_candidates(self.hist, self.items, self.active, "category_l2", 3, 10),
-            C.location_popular_candidates(self.hist, self.active, 2, 10),
-        ]
 
+    @cached_property
+    def tx(self) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in self._stored or not path_exists(self.spark, self._stored[key].scratch_path):
+            self._stored[key] = materialise(benchmark_transactions(self.spark, self.sf_dir), partition_by=("month",))
+        return self._stored[key]
+
+    @cached_property
+    def hist(self) -> DataFrame:
+        return splits.make_time_splits(self.tx)["valid_hist"]
+
+    @cached_property
+    def truth(self) -> DataFrame:
+        return labels.make_ground_truth(splits.make_time_splits(self.tx)["valid_label"])
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return C.get_active_users(self.hist, MIN_BILLS)
+
+    def candidates(self, every: bool = False) -> DataFrame:
+        more = {"popular_top_k": 20, "user_top_categories": 3, "items_per_category": 10, "user_top_locations": 2, "items_per_location": 10} if every else {}
+        return C.build_candidates(
+            self.hist, self.items, self.active, recent_top_k=RECENT, frequent_top_k=FREQUENT, anchor_top_k=FREQUENT, co_top_k=CO_TOP, max_bill_items=MAX_BILL_ITEMS, cut=materialise, **more
+        )
+
+    @cached_property
     def labeled(self) -> DataFrame:
-        return labels.make_labeled_dataset(C.merge_candidates(self.sources()), self.truth)
+        return labels.make_labeled_dataset(self.candidates(), self.truth)
 
     def meta(self) -> DataFrame:
         return features.make_item_meta(self.items)
 
-    def max_date(self):
+    @cached_property
+    def max_date(self) -> Column:
         return features.max_date_of(self.hist)
 
+    @cached_property
     def wide(self) -> DataFrame:
-        return features.build_features(self.hist, self.labeled(), self.items)
+        return features.join_features(self.labeled, features.make_written_sources(self.hist, self.items, self.max_date))
 
+    @cached_property
+    def written_wide(self) -> DataFrame:
+        return materialise(self.wide)
+
+    @cached_property
     def topk(self) -> DataFrame:
-        return scoring.get_topk(scoring.formula_score(self.labeled()), 10)
+        return materialise(scoring.get_topk(scoring.formula_score(self.labeled), 10))
 
     def fallback_recent(self) -> DataFrame:
         return S.recent_history_fallback(self.hist, S.missing_users(self.hist, self.active), 4)
@@ -64,7 +91,7 @@ class Inputs:
         return S.popular_items(self.hist, 15, 3)
 
     def submission(self, rotate: bool = False) -> DataFrame:
-        return S.make_submission(self.topk(), 10, self.hist, self.fallback_popular(), self.fallback_recent(), rotate)
+        return S.make_submission(self.topk, 10, self.hist, self.fallback_popular(), self.fallback_recent(), rotate)
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -76,22 +103,39 @@ def _lists(df: DataFrame) -> DataFrame:
 
 
 def _matrix(i: Inputs) -> DataFrame:
-    wide = i.wide()
-    mappings = encode.build_category_mappings(wide, MATRIX_CAT)
+    wide = i.written_wide
+    mappings = materialise(encode.build_category_mappings(wide, MATRIX_CAT))
     return encode.prepare_matrix(wide, encode.PreprocessSpec(MATRIX_NUMERIC, MATRIX_CAT, None), mappings, ["customer_id", "item_id", "target"])
 
 
+def _train_matrix(i: Inputs, then: Callable[[DataFrame, encode.PreprocessSpec, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Columns told by the schema and the selection; for validation and inference too."""
+    wide = i.written_wide
+    matrix, spec, mappings = encode.prepare_train_matrix(wide, DROP_COLS, CAT_COLS, [*MATRIX_NUMERIC, *MATRIX_CAT])
+    columns = [*MATRIX_NUMERIC, *MATRIX_CAT]
+    made = matrix if then is None else then(wide, spec, materialise(mappings))
+    return made.select(*[c for c in ("customer_id", "item_id", "target") if c in made.columns], *columns)
+
+
 def _weights(i: Inputs) -> DataFrame:
-    # A cut between the two passes: the maximum and the rows come from one table.
-    weighed = sampling.popular_negative_weights(i.wide(), "item_n_customers", 0.5)
+    weighed = sampling.popular_negative_weights(i.written_wide, "item_n_customers", 0.5)
     return _rounded(weighed.select("customer_id", "item_id", "weight"), "weight")
 
 
+def _adjusted(i: Inputs, penalty: float) -> DataFrame:
+    wide = i.written_wide if penalty else i.wide
+    return _rounded(scoring.get_topk(scoring.adjust_prediction_scores(scoring.formula_score(wide), popularity_penalty=penalty), 10), "score")
+
+
 def _blend(i: Inputs) -> DataFrame:
-    base, extra = i.submission(), i.submission(rotate=True)
+    base, extra = materialise(i.submission()), materialise(i.submission(rotate=True))
     return _lists(S.blend_submissions(base, extra, 10, 7, 2, S.top_frequent_items(extra, 5)))
 
 
+def _recall(i: Inputs) -> DataFrame:
+    return _rounded(metrics.candidate_recall_report(materialise(i.labeled), i.truth), "avg_user_recall")
+
+
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "basic_stats": lambda i: eda.basic_stats(i.tx),
     "month_stats": lambda i: eda.month_stats(i.tx),
@@ -107,22 +151,26 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "category_candidates": lambda i: C.category_popular_candidates(i.hist, i.items, i.active, "category_l2", 3, 10),
     "location_candidates": lambda i: C.location_popular_candidates(i.hist, i.active, 2, 10),
     "cooccurrence_pairs": lambda i: C.cooccurrence_pairs(i.hist, C.frequent_items(i.hist, i.active, FREQUENT, "r").select(F.col("item_id").alias("anchor_item_id")).distinct(), CO_TOP, MAX_BILL_ITEMS),
-    "cooccurrence_candidates": lambda i: i.sources()[2],
-    "merged_candidates": lambda i: C.merge_candidates(i.all_sources()),
+    "cooccurrence_candidates": lambda i: C.cooccurrence_candidates(i.hist, i.active, FREQUENT, CO_TOP, MAX_BILL_ITEMS),
+    "merged_candidates": lambda i: i.candidates(every=True),
     "ground_truth": lambda i: i.truth,
-    "labeled_dataset": lambda i: i.labeled(),
-    "user_features": lambda i: _rounded(features.make_user_features(i.hist, i.max_date()), "user_avg_discount_rate"),
-    "item_features": lambda i: _rounded(features.make_item_features(i.hist, i.meta(), i.max_date()), "item_avg_discount_rate"),
-    "user_item_features": lambda i: features.make_user_item_features(i.hist, i.max_date()),
-    **{f"user_{c}_features": lambda i, c=c, p=p: features.make_user_taxonomy_features(i.hist, i.meta(), c, p, i.max_date()) for c, p in features.TAXONOMY.items()},
+    "labeled_dataset": lambda i: i.labeled,
+    "user_features": lambda i: _rounded(features.make_user_features(i.hist, i.max_date), "user_avg_discount_rate"),
+    "item_features": lambda i: _rounded(features.make_item_features(i.hist, i.meta(), i.max_date), "item_avg_discount_rate"),
+    "user_item_features": lambda i: features.make_user_item_features(i.hist, i.max_date),
+    **{f"user_{c}_features": lambda i, c=c, p=p: features.make_user_taxonomy_features(i.hist, i.meta(), c, p, i.max_date) for c, p in features.TAXONOMY.items()},
     "user_basket": lambda i: features.make_user_basket_features(i.hist),
     "item_basket": lambda i: features.make_item_basket_features(i.hist),
     "user_main_location": lambda i: features.make_user_main_location(i.hist),
     "item_location": lambda i: features.make_item_location_features(i.hist),
-    "joined_features": lambda i: _rounded(i.wide(), "user_avg_discount_rate", "item_avg_discount_rate", "item_user_discount_rate_diff"),
-    "category_mapping": lambda i: encode.build_category_mappings(i.wide(), [*features.TAXONOMY, "size"]),
+    "joined_features": lambda i: _rounded(i.wide, "user_avg_discount_rate", "item_avg_discount_rate", "item_user_discount_rate_diff"),
+    "category_mapping": lambda i: encode.build_category_mappings(i.written_wide, [*features.TAXONOMY, "size"]),
     "model_matrix": _matrix,
-    "adjusted_topk": lambda i: _rounded(scoring.get_topk(scoring.adjust_prediction_scores(scoring.formula_score(i.wide())), 10), "score"),
+    "train_matrix": _train_matrix,
+    "valid_matrix": lambda i: _train_matrix(i, encode.prepare_valid_matrix),
+    "inference_matrix": lambda i: _train_matrix(i, encode.prepare_inference_matrix),
+    "adjusted_topk": lambda i: _adjusted(i, 0.0),
+    "penalised_topk": lambda i: _adjusted(i, 0.05),
     "fallback_recent": lambda i: i.fallback_recent(),
     "fallback_popular": lambda i: i.fallback_popular(),
     "missing_users": lambda i: S.missing_users(i.hist, i.active),
@@ -132,15 +180,16 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "blend": _blend,
     "item_concentration": lambda i: S.item_concentration(i.submission()),
     "frequent_first_slots": lambda i: S.frequent_slots(i.submission(), 8, slot=1),
-    "candidate_recall": lambda i: _rounded(metrics.candidate_recall_report(i.labeled(), i.truth), "avg_user_recall"),
-    "candidate_count_dist": lambda i: metrics.candidate_count_distribution(i.labeled(), i.truth),
+    "candidate_recall": _recall,
+    "candidate_count_dist": lambda i: metrics.candidate_count_distribution(materialise(i.labeled.select("customer_id")), i.truth),
     "ground_truth_lists": lambda i: _lists(metrics.ground_truth_lists(i.truth)),
-    "precision_at_k": lambda i: metrics.precision_at_k(i.topk()),
-    "precision_buyers": lambda i: metrics.precision_at_k_buyers_only(i.topk(), i.truth),
+    "precision_at_k": lambda i: metrics.precision_at_k(i.topk),
+    "precision_buyers": lambda i: metrics.precision_at_k_buyers_only(i.topk, i.truth),
     "server_precision": lambda i: metrics.server_precision_at_k(i.submission(), i.truth),
-    "negative_sample_counts": lambda i: sampling.negative_sample_counts(i.labeled()),
+    "negative_sample_counts": lambda i: sampling.negative_sample_counts(i.labeled),
     "popularity_weights": _weights,
-    "training_sample": lambda i: sampling.sample_training(i.labeled(), 3.0, 1.0, None),
+    "training_sample": lambda i: sampling.sample_training(materialise(i.labeled), 3.0, 0.5, 400, batch_rows=20_000),
+    "stratified_split": lambda i: sampling.stratified_split(materialise(i.labeled.select("customer_id", "item_id", "target")), 0.1),
 }
 
 
@@ -154,4 +203,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged candidates with labels: what retrieval covers of the next month."""
-    return Inputs(spark, sf_dir).labeled()
+    return Inputs(spark, sf_dir).labeled

@@ -312,3 +312,17 @@ SQL: dict[str, str] = {
     "negative_sample_counts": with_(LABELED) + "SELECT count(*) FILTER (target = 1) AS n_positive, count(*) FILTER (target = 0) AS n_negative, CAST(least(count(*) FILTER (target = 0), 3 * count(*) FILTER (target = 1)) AS BIGINT) AS n_sampled_negative FROM labeled",
     "popularity_weights": with_(JOINED, "pw AS (SELECT customer_id, item_id, target, ln(1 + CAST(coalesce(item_n_customers, 0) AS DOUBLE)) AS v FROM wide)") + "SELECT customer_id, item_id, round(CASE WHEN target = 0 THEN 1 + 0.5 * v / (SELECT max(v) FROM pw) ELSE 1 END, 8) AS weight FROM pw",
 }
+
+_DRAWN = """
+nb AS (SELECT CAST(greatest(1, ceil(count(*) / 20000.0)) AS BIGINT) AS k FROM labeled),
+drawn AS (SELECT l.*, md5('42|' || customer_id || '|' || item_id) AS d, CAST('0x' || substr(md5('43|' || customer_id), 1, 8) AS BIGINT) % k AS b, k FROM labeled l, nb),
+placed AS (SELECT *, row_number() OVER (PARTITION BY b, target ORDER BY d) AS n, ceil(count(*) FILTER (target = 1) OVER (PARTITION BY b) * 0.5) AS pos FROM drawn),
+taken AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY d) AS s FROM placed WHERE n <= CASE WHEN target = 1 THEN pos ELSE ceil(pos * 3) END)"""
+SQL |= {
+    "train_matrix": SQL["model_matrix"],
+    "valid_matrix": SQL["model_matrix"],
+    "inference_matrix": SQL["model_matrix"].replace("SELECT customer_id, item_id, target, coalesce(", "SELECT customer_id, item_id, coalesce("),
+    "penalised_topk": SQL["adjusted_topk"].replace(" AS score FROM wide)", " - CAST(0.05 AS DOUBLE) * (ln(1 + CAST(item_n_customers AS DOUBLE)) / (SELECT max(ln(1 + CAST(item_n_customers AS DOUBLE))) FROM wide)) AS score FROM wide)"),
+    "training_sample": with_(LABELED, _DRAWN) + "SELECT * EXCLUDE (d, b, k, n, pos, s) FROM taken WHERE s <= ceil(400.0 / k)",
+    "stratified_split": with_(LABELED) + "SELECT customer_id, item_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42|' || customer_id || '|' || item_id)) <= ceil(count(*) OVER (PARTITION BY target) * CAST(0.1 AS DOUBLE)) AS holdout FROM labeled",
+}

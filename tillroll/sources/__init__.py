@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
+from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +70,57 @@ def sink_dataset(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder for tables between steps, deleted when it ends.
+
+    It lies in the shared folder that the session names in spark.checkpoint.dir.
+    Only a local master may go without one and gets a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="scratch-")
+        _local[spark.sparkContext.applicationId] = shared
+    path = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}-tables"
+    if path not in _leaving:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(where)
+        store.deleteOnExit(where)
+        _leaving.add(path)
+    return path
+
+
+_local: dict[str, str] = {}
+_leaving: set[str] = set()
+
+
+def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet in the shared scratch folder and return it read back.
+
+    Lineage ends there: executors may be lost, later steps read only the columns
+    that they need, and sizes are known to the planner.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    out.scratch_path = path
+    return out
+
+
+def materialise_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """Each of ``tables`` written and read back, several at the same time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(lambda df: inheritable_thread_target(df.sparkSession)(materialise)(df), tables.values())))
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what :func:`materialise` wrote for ``tables``: nothing may read them any more."""
+    for df in tables:
+        remove_path(df.sparkSession, df.scratch_path)
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     """Rows of a dataset, from the files' footers."""
     return spark.read.parquet(path).count()
@@ -83,6 +140,41 @@ def load_submission(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("customer_id", "items")
 
 
+def export_lists(submission: DataFrame, path: str) -> None:
+    """The lists as JSON lines, one small object a customer, for programs without Parquet."""
+    submission.select(F.col("customer_id").cast("int"), F.col("items").cast("array<string>")).write.mode("overwrite").json(path)
+
+
+def import_lists(spark: SparkSession, path: str) -> DataFrame:
+    """Lists that :func:`export_lists` or another program wrote as JSON lines."""
+    return spark.read.schema("customer_id int, items array<string>").json(path)
+
+
+def export_dict(submission: DataFrame, path: str, most: int = 20_000_000) -> int:
+    """The lists as one JSON object of customer to items, written row by row.
+
+    For programs that read a dictionary: a local file on the driver, which holds one
+    partition of lists at a time; fails beyond ``most`` customers. Returns their number.
+    """
+    rows = submission.select(F.col("customer_id").cast("int"), F.col("items").cast("array<string>"))
+    count = rows.count()
+    if count > most:
+        raise ValueError(f"{count} lists are too many for one file")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("{")
+        for k, r in enumerate(rows.toLocalIterator()):
+            out.write(f"{', ' if k else ''}{json.dumps(str(r['customer_id']))}: {json.dumps(r['items'])}")
+        out.write("}")
+    return count
+
+
+def import_dict(spark: SparkSession, path: str) -> DataFrame:
+    """Lists from a JSON object of customer to items on the driver."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    return spark.createDataFrame([(int(c), [str(i) for i in items]) for c, items in found.items()], "customer_id int, items array<string>")
+
+
 # The supplied benchmark tables as transactions and items.
 
 
