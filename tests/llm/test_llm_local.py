@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from fractions import Fraction
 from math import log2
 
@@ -32,14 +33,28 @@ def strange_texts(n, seed=5):
 
 def test_token_counts_of_all_prefixes_match_the_library(counter):
     library = counter._library
-    for text in strange_texts(300):
+    for text in [*strange_texts(250), "e\u0301\u0323x\u1100\u1161\u11a8 \u0301", "a\x1c\x1d  b\u3000c"]:
         index = counter.index(text)
-        for n in {0, len(text) // 3, len(text) // 2, len(text)}:
-            assert index.count(n) == len(library.encode(text[:n], add_special_tokens=False).ids), repr(text[:n])
+        counts = index.counts()
+        for n in range(len(text) + 1):
+            real = len(library.encode(text[:n], add_special_tokens=False).ids)
+            assert index.count(n) == real and (not n or counts[n - 1] == real), repr(text[:n])
+        for budget in {0, 1, len(text) // 5}:
+            assert index.fitting(budget) == max(n for n in range(len(text) + 1) if not n or counts[n - 1] <= budget)
     for word in ("internationalization", "honorificabilitudinitatibus", "tiontionatth"):
         assert counter.word_prefixes(word) == [len(library.encode(word[:n], add_special_tokens=False).ids) for n in range(1, len(word) + 1)]
 
 
+def test_long_chunks_take_linear_time(counter):
+    rng = random.Random(4)
+    chunk = "".join(rng.choice("abcdeinorstu") for _ in range(100_000))
+    began = time.time()
+    index = counter.index(chunk)
+    assert index.fitting(1000) > 1000 and time.time() - began < 10
+    for n in [rng.randint(1, len(chunk)) for _ in range(4)]:
+        assert index.count(n) == len(counter._library.encode(chunk[:n], add_special_tokens=False).ids)
+
+
 def test_truncation_keeps_the_budget(counter):
     text = "The quick brown foxes jump over internationalization and more words. " * 20
     for budget in (0, 1, 7, 50, 10_000):

@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, mixing, ngram_join, quality, secrets, sharding, token_counts, topk_search, toxicity, urls
+from tillroll.llm import common, decontamination, mixing, ngram_join, quality, secrets, sharding, token_counts, topk_search, toxicity, urls
 from tillroll.llm.common import text_remainder
 from tillroll.llm.components import connected
 
@@ -45,7 +45,9 @@ def test_token_counts(docs, empty):
     got = token_counts.prefix_token_counts(docs, path)
     assert got.columns.count("n_tokens") == 1 and got.count() == len(ROWS)
     by = {r.doc_id: r for r in got.collect() if r.doc_id is not None}
-    assert (by[3].n_bytes, by[3].n_tokens, by[3].prefix_tokens) == (0, 0, []) and by[5].n_tokens == 20_000 and by[6].prefix_tokens == [1, 2, 3]
+    assert (by[3].n_bytes, by[3].n_tokens, by[3].prefix_tokens) == (0, 0, []) and by[5].n_tokens == 20_000 and by[6].prefix_tokens[2] == 1 and by[6].prefix_tokens[-1] == 3
+    looked_up = got.where("doc_id = 6").select(token_counts.tokens_within(F.col("prefix_tokens"), F.lit(7)).alias("n"), token_counts.chars_within(F.col("prefix_tokens"), F.lit(2)).alias("c")).first()
+    assert (looked_up.n, looked_up.c) == (2, 8)
     assert token_counts.prefix_token_counts(empty, path).count() == 0
 
 
@@ -229,7 +231,7 @@ def test_jaccard_components_match_all_pairs(spark, monkeypatch, small):
     if small:  # blocks, parts and joins without broadcast
         monkeypatch.setattr(ngram_join, "BLOCK", 3)
         monkeypatch.setattr(ngram_join, "GROUP_ROWS", 20)
-        monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
         monkeypatch.setattr(ngram_join, "MIN_HASHES", 1)
     rows = list(enumerate(near_texts())) + [(900, None), (901, ""), (902, "a b"), (903, "A  b"), (None, "a b"), (902, "a b"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).repartition(4)

@@ -10,6 +10,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources import discard, materialise
+
+__all__ = ["ascii_lower", "discard", "hinted", "materialise", "prepare_workers", "read_table", "release", "reserved", "text_remainder"]
+
 #: Rows of one Arrow batch handed to Python: long texts make large batches.
 BATCH_ROWS = 1024
 
@@ -18,28 +22,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared checkpoint folder.
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that are done, and let Spark delete the shuffle files
+    of the plans that made them.
 
-    The folder is the one the session names in spark.checkpoint.dir; only where
-    that is unset (single-machine tests) a temporary folder is made.
+    It does so when the driver's garbage is collected, which many small jobs in a row
+    don't bring about by themselves.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    discard(*tables)
+    gc.collect()
+    SparkSession.getActiveSession().sparkContext._jvm.System.gc()
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files and checkpoints of plans that are done.
+#: Rows up to which a counted table is broadcast.
+BROADCAST_ROWS = 500_000
 
-    Spark deletes them when the driver's garbage is collected, which many small jobs
-    in a row don't bring about by themselves.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+def hinted(df: DataFrame) -> DataFrame:
+    """Broadcast a materialised table only if it is counted to be small."""
+    return F.broadcast(df) if df.limit(max(BROADCAST_ROWS, 0) + 1).count() <= BROADCAST_ROWS else df
 
 
 def prepare_workers(spark: SparkSession) -> None:
@@ -64,6 +65,13 @@ def prepare_workers(spark: SparkSession) -> None:
 _sent: set[str] = set()
 
 
+def reserved(df: DataFrame, *names: str) -> dict[str, str]:
+    """Column names that begin with ``names`` and that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    end = next(e for e in ["", *map(str, range(len(taken) + 1))] if not any(f"__{n}{e}" in taken for n in names))
+    return {n: f"__{n}{end}" for n in names}
+
+
 def text_remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id written as text, modulo ``parts``; null ids give null."""
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % F.lit(parts)

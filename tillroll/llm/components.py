@@ -18,27 +18,28 @@ def _to_least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "u")
 
 
-def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b): component is the least node.
 
-    Alternating large-star and small-star rounds until a round changes nothing.
+    Alternating large-star and small-star rounds until a round changes nothing: each
+    moves nodes to smaller ones only, so there is such a round.
     """
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs, before = materialise(pairs), None
-    for _ in range(rounds):
-        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+    while True:
+        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if now == before:
             break
-        before = now
+        before, last = now, pairs
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _to_least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         pairs = materialise(small.where("u <> v").distinct())
         del both, large, small
-        release(pairs.sparkSession)
-    else:
-        raise RuntimeError("components did not settle")
+        release(last)
     node = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return materialise(node.unionByName(roots))
+    found = materialise(node.unionByName(roots))
+    release(pairs)
+    return found

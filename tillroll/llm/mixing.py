@@ -28,15 +28,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.common import materialise, prepare_workers, read_table
+from tillroll.llm.common import hinted, materialise, prepare_workers, read_table, reserved
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
-#: Of one source and length, documents are numbered within buckets of this many
-#: leading bits of their hash.
-BUCKET_BITS = 10
-#: Rows up to which the counted plan by source and length is broadcast.
-BROADCAST_ROWS = 500_000
+#: Of one source and length, documents are numbered within buckets of leading bits of
+#: their hash: this many bits, or as many more as keep buckets to BUCKET_ROWS or so.
+BUCKET_BITS, BUCKET_ROWS = 10, 100_000
 #: Words left to the dynamic program where the lengths at hand allow it.
 FITTED_WORDS = 8192
 
@@ -124,7 +122,9 @@ def mix(docs: DataFrame, keys: list[str], seed: int = 17, text: str = "text", so
 
     planned = counted.groupBy("source").applyInPandas(plan, "source string, size long, source_size long, target double, whole long, extra long")
 
-    bucket = F.shiftright("h", 64 - BUCKET_BITS).cast("int")
+    largest = counted.agg(F.max("n")).first()[0] or 0
+    bits = min(max(BUCKET_BITS, (largest // BUCKET_ROWS).bit_length()), 31)
+    bucket = F.shiftright("h", 64 - bits).cast("int")
     place = ["p_source", "p_size", "bucket"]
     # Null sources take part in the joins: their key is told from every name.
     name = source_key("source")
@@ -158,17 +158,14 @@ def mixed_documents(docs: DataFrame, keys: list[str], seed: int = 17, text: str
     """
     planned = mix(docs, keys, seed, text, source)
     upto = F.max(F.when(F.col("copies") > F.col("whole"), F.col("h"))).alias("__upto")
-    plan = materialise(planned.groupBy(source_key("source").alias("__source"), F.col("size").alias("__size")).agg(F.max("whole").alias("__whole"), upto))
-    few = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    own = docs.withColumns({"__source": source_key(f"`{source}`"), "__size": count_words(F.col(f"`{text}`")), "__h": seeded_hash(keys, seed, text)}).where("__size > 0")
-    joined = own.join(F.broadcast(plan) if few else plan, ["__source", "__size"])
-    copies = F.col("__whole") + F.coalesce((F.col("__h") <= F.col("__upto")).cast("long"), F.lit(0))
-    return _repeated(joined, copies, docs.columns)
-
-
-def _repeated(rows: DataFrame, copies: Column, columns: list[str]) -> DataFrame:
-    taken = rows.withColumn("__copies", copies).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in columns])
+    own = reserved(docs, "source", "size", "h", "whole", "upto", "copies", "copy")
+    plan = planned.groupBy(source_key("source").alias("__source"), F.col("size").alias("__size")).agg(F.max("whole").alias("__whole"), upto)
+    plan = materialise(plan.select(*[F.col(f"__{n}").alias(own[n]) for n in ("source", "size", "whole", "upto")]))
+    rows = docs.withColumns({own["source"]: source_key(f"`{source}`"), own["size"]: count_words(F.col(f"`{text}`")), own["h"]: seeded_hash(keys, seed, text)}).where(F.col(own["size"]) > 0)
+    joined = rows.join(hinted(plan), [own["source"], own["size"]])
+    copies = F.col(own["whole"]) + F.coalesce((F.col(own["h"]) <= F.col(own["upto"])).cast("long"), F.lit(0))
+    taken = joined.withColumn(own["copies"], copies).where(F.col(own["copies"]) > 0)
+    return taken.withColumn(own["copy"], F.explode(F.array_repeat(F.lit(1), F.col(own["copies"]).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

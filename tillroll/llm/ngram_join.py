@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialise, prepare_workers, read_table, release
+from tillroll.llm.common import discard, hinted, materialise, prepare_workers, read_table, release, reserved
 from tillroll.llm.components import connected
 from tillroll.llm.shingles import mix, overlap, set_digest, shingle_sets
 
@@ -59,8 +59,6 @@ MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
 CELLS = 256
 #: Nodes of one shingle that meet in one group, and rows of shingles and nodes that do.
 BLOCK, GROUP_ROWS = 2_000, 50_000
-#: Rows up to which a counted table is broadcast.
-BROADCAST_ROWS = 500_000
 
 
 def needed(n: np.ndarray | int, m: np.ndarray | int):
@@ -158,16 +156,11 @@ def _nodes(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def _hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a materialised table only if it is counted to be small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def _texts(docs: DataFrame, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of each wanted node: one of the texts that has its set."""
     chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
     chosen = materialise(chosen)
-    found = docs.select(F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text")).join(_hinted(chosen), "text_hash")
+    found = docs.select(F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text")).join(hinted(chosen), "text_hash")
     return found.groupBy("node").agg(F.first("text").alias("text"))
 
 
@@ -391,7 +384,7 @@ def _joining(members: DataFrame) -> DataFrame:
 
 def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrder, component: DataFrame) -> DataFrame:
     """Candidate pairs across components."""
-    component = _hinted(component)
+    component = hinted(component)
     joining = materialise(_joining(_with_component(_prefix_rows(docs, text, order), component)))
     members = _with_component(_prefix_rows(docs, text, order, _bit_map(joining)), component)
     members = members.groupBy("shingle", "node").agg(F.first("need").alias("need"), F.first("component").alias("component"))
@@ -400,7 +393,7 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
         members = members.join(_joining(members), "shingle", "left_semi")
         enough = members.groupBy("node").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("node")
         members = members.join(enough, "node", "left_semi")
-        release(docs.sparkSession)
+        release()
     members = materialise(members)
     shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
     payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
@@ -408,7 +401,7 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     placed = materialise(_labelled(members.drop("need")).join(sizes, "shingle"))
     large = F.col("members") > BLOCK
     of_label = placed.where(~large).groupBy("label").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
-    together = placed.where(~large).join(_hinted(of_label), "label").withColumn("part", F.pmod(F.xxhash64("shingle"), F.col("parts")).cast("int"))
+    together = placed.where(~large).join(hinted(of_label), "label").withColumn("part", F.pmod(F.xxhash64("shingle"), F.col("parts")).cast("int"))
     together = together.select("label", "part", "node", "component", "shingle", F.lit(1).alias("blocks"))
     alone = placed.where(large).select(F.col("shingle").alias("label"), F.lit(-1).alias("part"), "node", "component", "shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     rows = together.unionByName(alone).groupBy("label", "part", "node", "component", "blocks").agg(F.array_sort(F.collect_list("shingle")).alias("own"))
@@ -437,14 +430,14 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     component = connected(links)
     # Once more from the nodes that most were linked to: they are amid their group.
     linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    again = _with_component(minima, _hinted(component)).join(_hinted(materialise(linked)), "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-    stars = materialise(_star_pairs(again).join(_hinted(stars), ["a", "b"], "left_anti"))
+    again = _with_component(minima, hinted(component)).join(hinted(materialise(linked)), "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    stars = materialise(_star_pairs(again).join(hinted(stars), ["a", "b"], "left_anti"))
     links = materialise(links.unionByName(_verified(stars, docs, text, nodes)))
     component = connected(links)
     more = materialise(_verified(_cross_pairs(docs, text, nodes, order, component), docs, text, nodes))
     merged = more.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b")))
     component = connected(merged)
-    labelled = _with_component(rows, _hinted(component)).withColumn("component", F.when(F.col("n") > 0, F.col("component")))
+    labelled = _with_component(rows, hinted(component)).withColumn("component", F.when(F.col("n") > 0, F.col("component")))
     names = [F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]
     return labelled.select(*names, F.col("n").alias("n_shingles"), "node", "component")
 
@@ -470,9 +463,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     gone = materialise(rows.where("goes").select("key", "hash").distinct().unionByName(repeated))
     marked = docs.withColumns({"__key": F.col(f"`{key}`"), "__hash": F.xxhash64(f"`{text}`")})
     same = lambda side: (F.col("__hash") == side["hash"]) & F.col("__key").eqNullSafe(side["key"])
-    gone = _hinted(gone)
+    gone = hinted(gone)
     stays = marked.join(gone, same(gone), "left_anti")
-    again = _hinted(materialise(repeated))
+    again = hinted(materialise(repeated))
     once = marked.join(again, same(again), "left_semi").dropDuplicates(["__key", "__hash"])
     return stays.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
 
