@@ -99,9 +99,17 @@ def test_url_parts_rules_and_words():
     assert rule("http://m.example.com/en/1") == ("example.com/en/", "block")
     assert rule("http://example.com/fr/") == ("com/", "allow") and rule("http://xexample.com") == (None, None)
     assert rule("http://a.net/es/") == ("net/es/", "block") and rule("http://net/es") == (None, None)
-    model = urls.url_model()
-    assert model.segment("freebetscasino") == ("free", "bets", "casino")
-    assert model.log_odds("spam-farm.example.org", "/en/1.html") > 0 > model.log_odds("blog.ththing.example.org", "/en/1.html")
+
+
+def test_segmentation_finds_the_best_of_all_splits():
+    rng = random.Random(9)
+    model = urls.WordModel({w: rng.randint(1, 50) for w in ("a", "b", "ab", "aba", "bab", "ba", "abba", "bb")})
+    splits = lambda s: [[s]] + [[s[:k], *rest] for k in range(1, len(s)) for rest in splits(s[k:])]
+    for _ in range(60):
+        name = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+        cost = lambda words: sum(map(model.cost, words))
+        found = model.segment(name)
+        assert "".join(found) == name and cost(found) == pytest.approx(max(map(cost, splits(name))))
 
 
 def test_discriminant_separates_classes_and_survives_one_class():

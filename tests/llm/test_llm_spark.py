@@ -58,10 +58,26 @@ def test_secrets(spark, docs, empty):
     assert [s["kind"] for s in secrets.scan_secrets(one).first()["base"]] == ["assign", "hex"]
 
 
-def test_urls(spark, docs):
-    pages = spark.createDataFrame([(1, "http://a.net/es/"), (2, None), (3, "x")], "page_id long, url string").withColumn("host", F.lit("clash"))
-    got = {r.page_id: r for r in urls.filter_urls(pages, urls.RULES).collect()}
-    assert got[1].verdict == "block" and (got[2].host, got[2].path, got[2].rule) == ("", "", None) and got[3].verdict in ("allow", "block")
+def test_urls(spark):
+    long = "http://" + "casino" * 3000 + ".org/" + "a" * 50_000
+    rows = [(1, "http://a.net/es/"), (2, None), (3, "x"), (4, "http://casinowin.org/x"), (4, "http://casinowin.org/x"), (5, long), (None, "http://plain.words.org/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": F.lit("clash"), "__url": F.lit("clash"), "html": F.lit("<p>win words plain</p>")})
+    for taught, model in ((True, urls.fit_urls(pages)), (True, urls.fit_urls(pages, html=None)), (False, urls.fit_urls(pages.where("false")))):
+        found = urls.filter_urls(pages, urls.RULES, model)
+        assert found.columns == ["page_id", "url", "__url", "html", "host", "path", "rule", "verdict"] and found.count() == len(rows)
+        got = {r.page_id: r for r in found.collect()}
+        assert got[1].verdict == "block" and (got[2].host, got[2].path, got[2].rule, got[2].verdict) == ("", "", None, "allow") and got[3].verdict == "allow"
+        assert got[4].verdict == got[5].verdict == ("block" if taught else "allow") and got[None].verdict == "allow"
+    assert urls.filter_urls(pages.where("false"), urls.RULES, model).count() == 0
+
+
+def test_url_counts_are_those_of_a_plain_scan(spark):
+    rows = [("http://a.casino.org/x/1",), ("http://a.casino.org/x/2",), ("http://words.org/x",), (None,)]
+    model = urls.fit_urls(spark.createDataFrame(rows, "url string").withColumn("html", F.lit("<b>Words</b> a<script>no</script>")))
+    unwanted = {s: 1 + (s == "casino") for s in urls.SEEDS} | {"a": 1, "x": 1, "<number>": 1}
+    plain = urls.UrlModel(model.words, unwanted, {"words": 1, "x": 1})
+    assert model.odds == pytest.approx(plain.odds)
+    assert "no" not in model.words._log and model.words.cost("words") > model.words.cost("nowords")
 
 
 def labelled(spark, good, bad, n=240):
@@ -164,12 +180,13 @@ def test_search_over_shards_with_odd_vectors(spark):
     assert topk_search.top_k(vectors.where("false"), F.lit(True), 3).count() == 0
 
 
-def test_decontamination(spark, docs, empty):
+def test_decontamination(spark, docs, empty, monkeypatch):
     text = "One two THREE four five six seven eight nine ten eleven twelve."
     rows = [(1, "x " + text + " y"), (2, "one two three four five six seven eight nine"), (3, None), (4, "short item here"), (5, "zz SHORT, item - here! zz"), (None, text)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hits", F.lit("clash"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("hits", "__digest", "__words", "__row", "n", "window")})
     bench = spark.createDataFrame([(10, text.lower()), (9, text), (11, "short item here"), (None, "zz short"), (12, None), (13, "!!")], "item_id long, text string")
-    for limits in ({}, {"max_words": 0}, {"max_broadcast": 0}):
+    for limits in ({}, {"max_broadcast": 0}, {"max_broadcast": 0, "cells": 2}):
+        monkeypatch.setattr(decontamination, "WORD_CELLS", limits.pop("cells", 1 << 18))
         got = {r.doc_id: r for r in decontamination.contamination(df, bench, ["doc_id"], **limits).collect()}
         hit = {k: len({p for h in r.hits for p in range(h["at"], h["at"] + h["n"])}) for k, r in got.items()}
         assert hit == {1: 12, 2: 0, 3: 0, 4: 3, 5: 4, None: 12}

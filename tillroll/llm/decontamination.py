@@ -4,16 +4,19 @@ Benchmark items are normalised to lower-case words; every window of ``size``
 consecutive words (an item of fewer words is one window) goes into a hash set that
 is broadcast when its counted size is within ``max_broadcast``; a larger set is
 joined by shuffle. Documents are scanned by token windows: a window is looked up
-only where all its words occur in the benchmark at all, which leaves few. A hit is
+only where all its words may occur in the benchmark, told by a set of at most
+WORD_CELLS hash cells whatever the benchmark's size, which leaves few. A hit is
 verified by equality of the window's words, not of hashes.
 
 Everything about one document happens in its row, so no group of copies meets in
-one task; only documents' numbers and verified hits are shuffled, by row.
+one task; only documents' numbers and verified hits are shuffled, by row, and to
+drop documents only the digests of those that go.
 
 Defined results: null or empty text and text without words has no words and no
 hits; null benchmark texts have no windows; an item with null id marks words but
-isn't listed; repeated documents are judged one by one; empty tables give no rows,
-or no hits. Columns that share a name with results are replaced.
+isn't listed; repeated documents are judged one by one; of very long texts every
+window counts; empty tables give no rows, or no hits. Columns of ``docs`` keep
+their values whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import ascii_lower, read_table
+from tillroll.llm.common import ascii_lower, hinted, materialise, read_table, reserved
 
 #: Characters of a word after lower-casing A-Z, and in the text as it stands.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,8 +34,8 @@ WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Windows up to which the hash set is broadcast (about 100 bytes each).
 MAX_BROADCAST = 1_000_000
-#: Benchmark words up to which documents are looked through for them first.
-MAX_WORDS = 50_000
+#: Cells that benchmark words are hashed to.
+WORD_CELLS = 1 << 18
 
 
 def words_of(text: Column) -> Column:
@@ -59,31 +62,46 @@ def _candidates(words: Column, known: Column, n: int) -> Column:
     return F.transform(hit, lambda p: F.struct(p.alias("at"), F.lit(n).alias("n"), _window(words, p, n).alias("window")))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, keys: list[str], size: int = 10, text: str = "text", max_broadcast: int = MAX_BROADCAST, max_words: int = MAX_WORDS) -> DataFrame:
+def _cell(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(WORD_CELLS - 1))
+
+
+def _possible(docs: DataFrame, kept: dict[str, Column], windows: DataFrame, text: str) -> tuple[DataFrame, Column]:
+    """Rows of ``kept`` with __words, and the column of windows that may be the benchmark's."""
+    lengths = [r["n"] for r in windows.select("n").distinct().collect()]  # as many as a window has words, at most
+    cells = [r[0] for r in windows.select(F.explode(F.split("window", " ")).alias("w")).select(_cell(F.col("w"))).distinct().collect()]
+    rows = docs.select(*[c.alias(name) for name, c in kept.items()], words_of(F.col(f"`{text}`")).alias("__words"))
+    rows = rows.withColumn("__known", F.transform("__words", lambda w: _cell(w).isin(cells) if cells else F.lit(False)))
+    found = [_candidates(F.col("__words"), F.col("__known"), n) for n in sorted(lengths)]
+    return rows, F.concat(*found) if found else F.array().cast("array<struct<at:int,n:int,window:string>>")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, keys: list[str], size: int = 10, text: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``keys`` and n_words, hits (array of at, n), items (sorted ids as strings) of each row."""
-    windows = benchmark_windows(benchmark, size)
-    lengths = [r["n"] for r in windows.select("n").distinct().collect()]  # at most ``size`` of them
-    at_most = windows.limit(max_broadcast + 1).count()
-    vocabulary = [r[0] for r in windows.select(F.explode(F.split("window", " ")).alias("w")).distinct().limit(max_words + 1).collect()]
-
-    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.monotonically_increasing_id().alias("__row"), words_of(F.col(f"`{text}`")).alias("__words"))
-    if len(vocabulary) <= max_words:
-        known = F.transform("__words", lambda w: w.isin(vocabulary) if vocabulary else F.lit(False))
-    else:
-        known = F.transform("__words", lambda w: F.lit(True))
-    rows = rows.withColumn("__known", known)
+    windows = materialise(benchmark_windows(benchmark, size))
+    named = {f"__k{i}": F.col(f"`{k}`") for i, k in enumerate(keys)}
+    rows, possible = _possible(docs, named | {"__row": F.monotonically_increasing_id()}, windows, text)
     # The first entry has no window and keeps a row for each document.
     none = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"), F.lit(None).cast("string").alias("window")))
-    places = F.concat(none, *[_candidates(F.col("__words"), F.col("__known"), n) for n in sorted(lengths)])
-    found = rows.select(*[F.col(f"`{k}`") for k in keys], "__row", F.size("__words").cast("long").alias("n_words"), F.explode(places).alias("c"))
-    found = found.select("*", "c.at", F.col("c.n").alias("n"), F.col("c.window").alias("window")).drop("c")
+    found = rows.select(*named, "__row", F.size("__words").cast("long").alias("n_words"), F.explode(F.concat(none, possible)).alias("c"))
+    found = found.select(*named, "__row", "n_words", "c.at", F.col("c.n").alias("n"), F.col("c.window").alias("window"))
     sides = windows.select("window", "items")
-    found = found.join(F.broadcast(sides) if at_most <= max_broadcast else sides, "window", "left")
+    found = found.join(F.broadcast(sides) if windows.count() <= max_broadcast else sides, "window", "left")
     found = found.where(F.col("window").isNull() | F.col("items").isNotNull())
     one = F.when(F.col("window").isNotNull(), F.struct("at", "n"))
-    return found.groupBy(*[F.col(f"`{k}`") for k in keys], "__row", "n_words").agg(
+    judged = found.groupBy(*named, "__row", "n_words").agg(
         F.collect_set(one).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
-    ).drop("__row")
+    )
+    return judged.select(*[F.col(n).alias(k) for n, k in zip(named, keys)], "n_words", "hits", "items")
+
+
+def contaminated_digests(docs: DataFrame, benchmark: DataFrame, digest: Column, size: int = 10, text: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """Distinct ``digest`` of the rows that hold a window: what is shuffled is hits alone."""
+    windows = materialise(benchmark_windows(benchmark, size))
+    rows, possible = _possible(docs, {"digest": digest}, windows, text)
+    sides = windows.select("window")
+    found = rows.select("digest", F.explode(possible).alias("c")).select("digest", F.col("c.window").alias("window"))
+    return found.join(F.broadcast(sides) if windows.count() <= max_broadcast else sides, "window", "left_semi").select("digest").distinct()
 
 
 def hit_words(hits: Column) -> Column:
@@ -100,18 +118,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
     if how not in ("documents", "spans"):
         raise ValueError(how)
     digest = F.md5(F.encode(F.col(f"`{text}`"), "UTF-8"))
-    judged = contamination(docs.withColumn("__digest", digest), benchmark, ["__digest"], size, text).where(F.size("hits") > 0)
-    marked = docs.withColumn("__digest", digest)
+    own = reserved(docs, "digest", "cut", "words", "gaps")
+    marked = docs.withColumn(own["digest"], digest)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if how == "documents":
-        return marked.join(judged.select("__digest").distinct(), "__digest", "left_anti").select(*docs.columns)
-    cut = judged.groupBy("__digest").agg(F.first(hit_words(F.col("hits"))).alias("__cut"))
-    joined = marked.join(cut, "__digest", "left")
-    parts = joined.withColumns({
-        "__words": F.regexp_extract_all(f"`{text}`", F.lit(WORD_ANY_CASE), F.lit(0)),
-        "__gaps": F.split(F.col(f"`{text}`"), WORD_ANY_CASE, -1),
+        gone = hinted(materialise(contaminated_digests(docs, benchmark, digest, size, text).select(F.col("digest").alias(own["digest"]))))
+        return marked.join(gone, own["digest"], "left_anti").select(*columns)
+    judged = contamination(docs.select(digest.alias("digest"), F.col(f"`{text}`").alias("text")), benchmark, ["digest"], size).where(F.size("hits") > 0)
+    cut = judged.groupBy(F.col("digest").alias(own["digest"])).agg(F.first(hit_words(F.col("hits"))).alias(own["cut"]))
+    parts = marked.join(hinted(materialise(cut)), own["digest"], "left").withColumns({
+        own["words"]: F.regexp_extract_all(f"`{text}`", F.lit(WORD_ANY_CASE), F.lit(0)),
+        own["gaps"]: F.split(F.col(f"`{text}`"), WORD_ANY_CASE, -1),
     })
-    rebuilt = F.array_join(F.transform("__gaps", lambda g, i: F.concat(g, F.when(F.array_contains("__cut", i), F.lit("")).otherwise(F.coalesce(F.get("__words", i), F.lit(""))))), "")
-    return parts.withColumn(text, F.when(F.col("__cut").isNull(), F.col(f"`{text}`")).otherwise(rebuilt)).select(*docs.columns)
+    word = lambda i: F.when(F.array_contains(own["cut"], i), F.lit("")).otherwise(F.coalesce(F.get(own["words"], i), F.lit("")))
+    rebuilt = F.array_join(F.transform(own["gaps"], lambda g, i: F.concat(g, word(i))), "")
+    changed = F.when(F.col(own["cut"]).isNull(), F.col(f"`{text}`")).otherwise(rebuilt)
+    return parts.withColumn(text, changed).select(*columns)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

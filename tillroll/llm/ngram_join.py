@@ -461,12 +461,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = materialise(found.join(kept, "component").select("key", "hash", (order != F.col("kept")).alias("goes")))
     repeated = rows.where("NOT goes").groupBy("key", "hash").count().where("count > 1").select("key", "hash")
     gone = materialise(rows.where("goes").select("key", "hash").distinct().unionByName(repeated))
-    marked = docs.withColumns({"__key": F.col(f"`{key}`"), "__hash": F.xxhash64(f"`{text}`")})
-    same = lambda side: (F.col("__hash") == side["hash"]) & F.col("__key").eqNullSafe(side["key"])
+    own = reserved(docs, "key", "hash")
+    marked = docs.withColumns({own["key"]: F.col(f"`{key}`"), own["hash"]: F.xxhash64(f"`{text}`")})
+    same = lambda side: (F.col(own["hash"]) == side["hash"]) & F.col(own["key"]).eqNullSafe(side["key"])
     gone = hinted(gone)
     stays = marked.join(gone, same(gone), "left_anti")
     again = hinted(materialise(repeated))
-    once = marked.join(again, same(again), "left_semi").dropDuplicates(["__key", "__hash"])
+    once = marked.join(again, same(again), "left_semi").dropDuplicates([own["key"], own["hash"]])
     return stays.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import read_table, prepare_workers, text_remainder
+from tillroll.llm.common import prepare_workers, read_table, reserved, text_remainder
 
 #: Labelled documents that a model is fitted on at most.
 MAX_ROWS = 20_000
@@ -194,7 +194,7 @@ def score_quality(df: DataFrame, model: Discriminant, text: str = "text", score:
     prepare_workers(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name.lower() != score.lower()]
     width = len(kept)
-    source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text"))
+    source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias(reserved(df, "text")["text"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,20 +35,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import materialise, read_table, prepare_workers, text_remainder
+from tillroll.llm.common import discard, materialise, prepare_workers, read_table, reserved, text_remainder
 from tillroll.llm.quality import logistic, sampled_labels
 
 #: Labelled documents that a model is fitted on at most.
 MAX_ROWS = 20_000
-#: Tokens that are rated at most: those in most toxic training documents.
-MAX_CANDIDATES = 200_000
 #: Beginnings of words that are tokens too, by their number of letters.
 BEGINNINGS = (4, 5, 6, 7)
-#: Pseudo-counts of the Dirichlet prior by use overall and for each token alike, z-value and score of a significant token,
-#: documents that must hold it, and the cost of any other token.
-PRIOR, EVEN, LEAST_Z, LEAST_ODDS, LEAST_DOCS, COST = 100.0, 0.5, 3.0, 1.5, 4, 0.15
-#: How far the calibration evens out the rarity of toxic documents: half way.
-BALANCE = 0.5
+#: Pseudo-counts of the Dirichlet prior by use overall and for each token alike, score of a significant
+#: token, documents that must hold it, and the cost of any other token.
+PRIOR, EVEN, LEAST_ODDS, LEAST_DOCS, COST = 100.0, 0.5, 1.5, 4, 0.15
+#: z-values from which a token is significant: the fit takes the one that serves best from
+#: one half of its texts to the other.
+Z_VALUES = (3.0, 3.5, 4.0, 4.75)
+#: How far the calibration evens out the rarity of toxic documents: both classes weigh
+#: the same. Of 0.5 and 1, the better by folds of the training rows.
+BALANCE = 1.0
 #: Evidence beyond this counts as this much.
 MOST_EVIDENCE = 60.0
 
@@ -182,70 +184,111 @@ def calibrate(model: SegmentModel, texts: list[tuple[list[tuple[int, int, float]
     return model
 
 
-def _counted(labelled: DataFrame, among: frozenset[str] | None) -> DataFrame:
-    """Number of documents that hold each token, added up per batch first.
+def _counted(labelled: DataFrame, among: frozenset[str] | None) -> dict[str, tuple[int, int]]:
+    """Number of documents of each half that hold each token, added up per batch first.
 
-    Tokens outside ``among``, if given, are left out. The token "" counts the
-    tokens of all documents, each once a document.
+    Without ``among`` tokens of LEAST_DOCS documents or more, else those in it. The
+    token "" counts the tokens of all documents, each once a document. What is
+    collected is bounded by the labelled sample.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
+            docs: Counter[tuple[str, int]] = Counter()
+            for text, half in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = {t for word in set(words_of(text)) if word for t in tokens_of(word)}
-                docs[""] += len(own)
-                docs.update(own if among is None else own & among)
-            yield pa.RecordBatch.from_arrays([pa.array(docs.keys(), pa.string()), pa.array(docs.values(), pa.int64())], names=["token", "n"])
+                docs["", half] += len(own)
+                docs.update((t, half) for t in (own if among is None else own & among))
+            columns = [[t for t, _ in docs], [h for _, h in docs], list(docs.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64()))], names=["token", "half", "n"])
 
-    return labelled.select("text").mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = labelled.select("text", "__half").mapInArrow(run, "token string, half int, n long")
+    each = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
+    found = counts.groupBy("token").agg(*each).where(F.col("n0") + F.col("n1") >= (LEAST_DOCS if among is None else 1))
+    return {r["token"]: (int(r["n0"]), int(r["n1"])) for r in found.collect()}
 
 
-def _token_scores(labelled: DataFrame) -> dict[str, float]:
-    """Log-odds of the significant tokens. Each text counts once, however often it occurs."""
-    texts = labelled.groupBy(F.md5(F.encode("text", "UTF-8")).alias("digest")).agg(F.first("text").alias("text"), F.max("__label").alias("__label"))
-    texts = materialise(texts)
-    counted = _counted(texts.where("__label = 1"), None)
-    toxic = {r["token"]: int(r["n"]) for r in counted.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "token").limit(MAX_CANDIDATES).collect()}
-    clean = {r["token"]: int(r["n"]) for r in _counted(texts.where("__label = 0"), frozenset(toxic)).collect()}
-    n_toxic, n_clean = toxic.pop("", 0), clean.pop("", 0)
+def _significant(toxic: dict[str, int], clean: dict[str, int], least_z: float) -> dict[str, float]:
+    """Log-odds of the significant tokens."""
+    n_toxic, n_clean = toxic.get("", 0), clean.get("", 0)
     if not n_toxic or not n_clean:
         return {}
-    rated = ((t, *log_odds(n, clean.get(t, 0), n_toxic, n_clean)) for t, n in toxic.items())
-    return {t: ratio for t, ratio, z in rated if z >= LEAST_Z and ratio >= LEAST_ODDS}
+    rated = ((t, *log_odds(n, clean.get(t, 0), n_toxic, n_clean)) for t, n in toxic.items() if t and n >= LEAST_DOCS)
+    return {t: ratio for t, ratio, z in rated if z >= least_z and ratio >= LEAST_ODDS}
+
+
+def _scanned(labelled: DataFrame, models: list[SegmentModel]) -> list[list[tuple]]:
+    """For each model, of every labelled document: segments, words, label, half and token scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for doc, text, label, half in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+                for k, model in enumerate(models):
+                    n, segments = model.segments(text)
+                    scores = sorted(round(s, 2) for w in words_of(text) if (s := model.word_score(w)) > 0)
+                    made.append((doc, label, half, k, n, [s for _, _, s in segments], scores))
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made) if made else [[]] * 7, types)], names=["doc_id", "label", "half", "model", "n", "segments", "scores"])
+
+    schema = "doc_id long, label int, half int, model int, n long, segments array<double>, scores array<double>"
+    made = labelled.select("doc_id", "text", "__label", "__half").mapInArrow(run, schema)
+    rows: list[list[tuple]] = [[] for _ in models]
+    for r in made.dropDuplicates(["doc_id", "model"]).orderBy("doc_id").collect():
+        rows[r["model"]].append(([(0, 0, s) for s in r["segments"]], r["n"], r["label"], r["half"], r["scores"]))
+    return rows
+
+
+def _calibrated(model: SegmentModel, rows: list[tuple]) -> SegmentModel:
+    background: Counter = Counter()
+    for _, n, label, _, scores in rows:
+        if label == 0:
+            background.update(scores)
+            background[-COST] += n - len(scores)
+    return calibrate(model, [r[:3] for r in rows], background)
+
+
+def _loss(model: SegmentModel, rows: list[tuple]) -> float:
+    """Mean log loss with both classes weighing the same."""
+    sums, counts = [0.0, 0.0], [0, 0]
+    for segments, n, label, _, _ in rows:
+        x = model.slope * model.evidence(n, segments) + model.offset
+        sums[label] += float(np.logaddexp(0.0, -x if label else x))
+        counts[label] += 1
+    return sum(s / max(c, 1) for s, c in zip(sums, counts))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic", text: str = "text", max_rows: int = MAX_ROWS) -> SegmentModel:
-    """Fit on labelled documents for which ``use``, over columns of ``labels``, holds."""
+    """Fit on labelled documents for which ``use``, over columns of ``labels``, holds.
+
+    Each text counts once for the tokens, however often it occurs. The texts are
+    halved by digest; scores from the first half, at each of Z_VALUES, are tried on
+    the second, and the best z-value is then used with all texts.
+    """
     prepare_workers(docs.sparkSession)
     chosen = sampled_labels(labels, label, use, max_rows)
     labelled = docs.select("doc_id", F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    labelled = materialise(labelled.withColumn("__label", (F.col("__label") > 0).cast("int")))
+    half = F.pmod(F.xxhash64(F.md5(F.encode("text", "UTF-8"))), F.lit(2)).cast("int")
+    labelled = materialise(labelled.withColumns({"__label": (F.col("__label") > 0).cast("int"), "__half": half}))
     of_label = {r["__label"]: r["count"] for r in labelled.groupBy("__label").count().collect()}
     if len(of_label) < 2:
         return SegmentModel({}, COST, constant=float(next(iter(of_label), 0.5)))
-    model = SegmentModel(_token_scores(labelled), COST)
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [model.segments(t) for t in batch.column(1).to_pylist()]
-            tallies = [Counter(round(s, 2) for w in words_of(t) if (s := model.word_score(w)) > 0) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2),
-                pa.array([n for n, _ in rows], pa.int64()),
-                pa.array([[s for _, _, s in segs] for _, segs in rows], pa.list_(pa.float64())),
-                pa.array([[k for k, c in sorted(t.items()) for _ in range(c)] for t in tallies], pa.list_(pa.float64())),
-            ], names=["doc_id", "label", "n", "segments", "scores"])
-
-    made = labelled.select("doc_id", "text", "__label").mapInArrow(found, "doc_id long, label int, n long, segments array<double>, scores array<double>")
-    rows = made.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    background: Counter = Counter()
-    for r in rows:
-        if r["label"] == 0:
-            background.update(r["scores"])
-            background[-COST] += r["n"] - len(r["scores"])
-    texts = [([(0, 0, s) for s in r["segments"]], r["n"], r["label"]) for r in rows]
-    return calibrate(model, texts, background)
+    texts = labelled.groupBy(F.md5(F.encode("text", "UTF-8")).alias("digest"), "__half").agg(F.first("text").alias("text"), F.max("__label").alias("__label"))
+    texts = materialise(texts)
+    toxic = _counted(texts.where("__label = 1"), None)
+    clean = _counted(texts.where("__label = 0"), frozenset(toxic))
+    first = [{t: n[0] for t, n in counts.items()} for counts in (toxic, clean)]
+    tried = [SegmentModel(_significant(*first, z), COST) for z in Z_VALUES]
+    losses = []
+    for model, rows in zip(tried, _scanned(labelled, tried)):
+        own, other = ([r for r in rows if r[3] == h] for h in (0, 1))
+        usable = len({r[2] for r in own}) == 2
+        losses.append(_loss(_calibrated(model, own), other) if usable else 0.0)
+    best_z = Z_VALUES[int(np.argmin(losses))]
+    model = SegmentModel(_significant(*[{t: sum(n) for t, n in counts.items()} for counts in (toxic, clean)], best_z), COST)
+    model = _calibrated(model, _scanned(labelled, [model])[0])
+    discard(labelled, texts)
+    return model
 
 
 def score_toxicity(df: DataFrame, model: SegmentModel, text: str = "text") -> DataFrame:
@@ -255,7 +298,7 @@ def score_toxicity(df: DataFrame, model: SegmentModel, text: str = "text") -> Da
     added = [T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))]
     kept = [f for f in df.schema.fields if f.name.lower() not in ("score", "passages")]
     width = len(kept)
-    source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias("__text"))
+    source = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`").alias(reserved(df, "text")["text"]))
     arrow = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("excess", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
