@@ -61,6 +61,7 @@ def test_secrets(spark, docs, empty):
 def test_urls(spark):
     long = "http://" + "casino" * 3000 + ".org/" + "a" * 50_000
     rows = [(1, "http://a.net/es/"), (2, None), (3, "x"), (4, "http://casinowin.org/x"), (4, "http://casinowin.org/x"), (5, long), (None, "http://plain.words.org/")]
+    rows += [(100 + i, f"http://{w}.org/{w}") for i, w in enumerate(("river", "stone", "house", "light", "tree") * 8)] + [(200 + i, f"http://plain{c}.org/") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz" * 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": F.lit("clash"), "__url": F.lit("clash"), "html": F.lit("<p>win words plain</p>")})
     for taught, model in ((True, urls.fit_urls(pages)), (True, urls.fit_urls(pages, html=None)), (False, urls.fit_urls(pages.where("false")))):
         found = urls.filter_urls(pages, urls.RULES, model)
