@@ -181,6 +181,20 @@ def test_search_over_shards_with_odd_vectors(spark):
     assert topk_search.top_k(vectors.where("false"), F.lit(True), 3).count() == 0
 
 
+def test_search_passes_over_regions(spark):
+    rng = random.Random(8)
+    rows = [(i, [x + rng.random() for x in ((9.0, 0.0), (-9.0, 0.0), (0.0, 9.0), (0.0, -9.0))[i % 4]]) for i in range(800)]
+    rows += [(1000 + i, [5.0, 5.0]) for i in range(150)]  # equal ones fill several shards
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("clash") for c in ("id", "size", "region", "query")})
+    report: dict = {}
+    found = topk_search.top_k(topk_search.integer_vectors(df), F.col("id") % 20 == 0, 5, shard_rows=50, query_block=10, report=report).collect()
+    assert report["searched"] < 0.7 * report["pairs"]
+    whole = {i: [int(64 * x // 1) for x in v] for i, v in rows}
+    for q in (q for q in whole if q % 20 == 0):
+        plain = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:5]
+        assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -s) for s, i in plain]
+
+
 def test_decontamination(spark, docs, empty, monkeypatch):
     text = "One two THREE four five six seven eight nine ten eleven twelve."
     rows = [(1, "x " + text + " y"), (2, "one two three four five six seven eight nine"), (3, None), (4, "short item here"), (5, "zz SHORT, item - here! zz"), (None, text)]
