@@ -57,6 +57,8 @@ LEAST_MATCHES, MOST_MATCHES = 5, 10
 MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
 #: Cells of a set's histogram; sets that overfill one go without.
 CELLS = 256
+#: Bytes of sets that a worker remembers from batch to batch.
+HELD_BYTES = 64 << 20
 #: Nodes of one shingle that meet in one group, and rows of shingles and nodes that do.
 BLOCK, GROUP_ROWS = 2_000, 50_000
 
@@ -165,7 +167,7 @@ def _texts(docs: DataFrame, text: str, nodes: DataFrame, wanted: DataFrame) -> D
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked, by comparing whole sets."""
+    """The pairs (a, b) that are linked, by comparing whole sets; written."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = materialise(_texts(docs, text, nodes, wanted))
     # Members meet their texts first: rows of a representative then share its text.
@@ -173,6 +175,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
             ids = [batch.column(0).to_pylist(), batch.column(1).to_pylist()]
             new: dict[int, int] = {}
@@ -181,15 +184,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) ->
                     if node not in memory and node not in new:
                         new[node] = 2 * row + side
             texts_of = [batch.column(2 + at % 2)[at // 2].as_py() for at in new.values()]
-            if len(memory) > 4 * len(ids[0]) + 1000:
+            if held > HELD_BYTES:
                 memory.clear()
+                held = 0
                 texts_of, new = [], {}
                 for side in (0, 1):
                     for row, node in enumerate(ids[side]):
                         if node not in new:
                             new[node] = 2 * row + side
                 texts_of = [batch.column(2 + at % 2)[at // 2].as_py() for at in new.values()]
-            memory.update(zip(new, shingle_sets(texts_of)))
+            made = shingle_sets(texts_of)
+            held += sum(x.nbytes for x in made)
+            memory.update(zip(new, made))
             keep = []
             for a, b in zip(*ids):
                 x, y = memory[a], memory[b]
@@ -197,7 +203,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) ->
                 keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    linked = materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+    discard(texts)
+    return linked
 
 
 def _prefix_rows(docs: DataFrame, text: str, order: ShingleOrder, bits: np.ndarray | None = None) -> DataFrame:
@@ -362,19 +370,32 @@ def _labelled(members: DataFrame) -> DataFrame:
     shingle of a node spreads to the node's shingles and, once more, on from there."""
     node = members.groupBy("node").agg(F.min("shingle").alias("first"))
     for _ in range(2):
-        shingle = members.join(node, "node").groupBy("shingle").agg(F.min("first").alias("label"))
+        shingle = members.join(hinted(materialise(node)), "node").groupBy("shingle").agg(F.min("first").alias("label"))
         node = members.join(shingle, "shingle").groupBy("node").agg(F.min("label").alias("first"))
     return members.join(shingle, "shingle")
 
 
+def _shared_minima(minima: DataFrame) -> DataFrame:
+    """The min-hashes that several nodes have: (k, value) of more than one row."""
+    several = minima.groupBy("k", "value").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("k", "value")
+    return minima.join(hinted(materialise(several)), ["k", "value"], "left_semi")
+
+
 def _star_pairs(minima: DataFrame) -> DataFrame:
     """Pairs (a, b) across components of each min-hash's representative a, the node of
-    most links, and the other nodes b that have it."""
-    first = F.max_by(F.struct("node", "n", "component"), F.struct("links", F.xxhash64("node", "k")))
+    most links, and the other nodes b that have it.
+
+    Even and odd min-hashes choose by a hash of their own, so that near copies have the
+    same one for most of a half; only pairs that agree twice in a half are worth a
+    comparison of whole sets.
+    """
+    half = F.col("k") % 2
+    first = F.max_by(F.struct("node", "n", "component"), F.struct("links", F.xxhash64("node", half)))
     best = minima.groupBy("k", "value").agg(first.alias("best"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     near = F.least("n", "best.n") * 100 >= F.greatest("n", "best.n") * PERCENT
-    met = minima.join(best.select("k", "value", "best"), ["k", "value"]).where((F.col("component") != F.col("best.component")) & near)
-    return met.select(F.col("best.node").alias("a"), F.col("node").alias("b")).distinct()
+    met = minima.join(hinted(materialise(best.select("k", "value", "best"))), ["k", "value"]).where((F.col("component") != F.col("best.component")) & near)
+    agreeing = met.groupBy(F.col("best.node").alias("a"), F.col("node").alias("b"), half).agg(F.count("*").alias("c"))
+    return agreeing.where(F.col("c") >= min(2, MIN_HASHES)).select("a", "b").distinct()
 
 
 def _joining(members: DataFrame) -> DataFrame:
@@ -388,13 +409,15 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     joining = materialise(_joining(_with_component(_prefix_rows(docs, text, order), component)))
     members = _with_component(_prefix_rows(docs, text, order, _bit_map(joining)), component)
     members = members.groupBy("shingle", "node").agg(F.first("need").alias("need"), F.first("component").alias("component"))
-    for _ in range(2):  # nodes that go leave shingles that no longer join any
-        members = materialise(members)
-        members = members.join(_joining(members), "shingle", "left_semi")
-        enough = members.groupBy("node").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("node")
-        members = members.join(enough, "node", "left_semi")
-        release()
     members = materialise(members)
+    for _ in range(2):  # nodes that go leave shingles that no longer join any
+        left = members.join(_joining(members), "shingle", "left_semi")
+        # By broadcast if there are few: the rows of a long text's node needn't meet.
+        enough = materialise(left.groupBy("node").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("node"))
+        members, before = materialise(left.join(hinted(enough), "node", "left_semi")), members
+        del left
+        release(before, enough)
+    discard(joining)
     shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
     payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
     sizes = members.groupBy("shingle").agg(F.count("*").alias("members"))
@@ -424,17 +447,19 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     order = ShingleOrder({r["node"]: r["docs"] for r in top.collect()})
     nodes = rows.where("n > 0").select("node", "n", "text_hash")
 
-    minima = rows.where("n > 0").select("node", "n", F.posexplode("mins").alias("k", "value"))
+    minima = rows.where("n > 0").select("node", "n", F.posexplode("mins").alias("k", "value")).distinct()
+    minima = materialise(_shared_minima(minima))
     stars = materialise(_star_pairs(minima.withColumns({"component": F.col("node"), "links": F.lit(0)})))
-    links = materialise(_verified(stars, docs, text, nodes))
+    links = _verified(stars, docs, text, nodes)
     component = connected(links)
     # Once more from the nodes that most were linked to: they are amid their group.
     linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     again = _with_component(minima, hinted(component)).join(hinted(materialise(linked)), "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-    stars = materialise(_star_pairs(again).join(hinted(stars), ["a", "b"], "left_anti"))
-    links = materialise(links.unionByName(_verified(stars, docs, text, nodes)))
+    other = materialise(_star_pairs(again).join(hinted(stars), ["a", "b"], "left_anti"))
+    links = links.unionByName(_verified(other, docs, text, nodes))
     component = connected(links)
-    more = materialise(_verified(_cross_pairs(docs, text, nodes, order, component), docs, text, nodes))
+    release(minima, stars, other)
+    more = _verified(_cross_pairs(docs, text, nodes, order, component), docs, text, nodes)
     merged = more.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b")))
     component = connected(merged)
     labelled = _with_component(rows, hinted(component)).withColumn("component", F.when(F.col("n") > 0, F.col("component")))
