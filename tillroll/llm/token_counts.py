@@ -134,24 +134,29 @@ class PrefixTokenCounter:
         size = len(word)
         last, inside, ended = [-1] * (size + 1), [0] * (size + 1), [0] * (size + 1)
         pairs, compatible = self._pairs.get, self._compatible
-        for end, (length, token, token_at_end) in self._automaton.iter(word):
-            end += 1
-            start = end - length
-            if not start:
+        done = -1
+        for place, (length, token, token_at_end) in self._automaton.iter(word):
+            if place == done:
+                continue
+            end = place + 1
+            if length == end:
                 if token >= 0:
                     last[end], inside[end] = token, 1
                 if token_at_end >= 0:
                     ended[end] = 1
-                continue
-            before, count = last[start] << 20, inside[start] + 1
-            if token >= 0 and not inside[end]:
-                good = pairs(before | token)
-                if good or good is None and compatible(before | token):
-                    last[end], inside[end] = token, count
-            if token_at_end >= 0 and not ended[end]:
-                good = pairs(before | token_at_end)
-                if good or good is None and compatible(before | token_at_end):
-                    ended[end] = count
+            else:
+                start = end - length
+                before = last[start] << 20
+                if token >= 0 and not inside[end]:
+                    good = pairs(before | token)
+                    if good or good is None and compatible(before | token):
+                        last[end], inside[end] = token, inside[start] + 1
+                if token_at_end >= 0 and not ended[end]:
+                    good = pairs(before | token_at_end)
+                    if good or good is None and compatible(before | token_at_end):
+                        ended[end] = inside[start] + 1
+            if inside[end] and ended[end]:
+                done = place
         if not all(ended[1:]):
             raise ValueError(f"the vocabulary can't encode {word!r}")
         return ended[1:]
@@ -161,17 +166,17 @@ class PrefixTokenCounter:
         known = self._words.get(word)
         if known is None:
             if word.isascii() and word.isprintable():
-                known = self.word_prefixes(word)
+                known = _packed(self.word_prefixes(word))
             else:
                 sizes = [len(c.encode()) for c in word]
                 counts = self.word_prefixes("".join(map(self._byte_chars.__getitem__, word.encode())))
-                known = [counts[at - 1] for at in accumulate(sizes)]
+                known = _packed([counts[at - 1] for at in accumulate(sizes)])
             if word[0] == "'" and len(word) == 3:  # the first two of 're are a mark and a letter
-                known[1] = sum(self._pre_token_counts(w)[-1] for w in self._pre_token.findall(word[:2]))
+                known = _packed([known[0], sum(self._pre_token_counts(w)[-1] for w in self._pre_token.findall(word[:2])), known[2]])
             if len(word) <= _REMEMBERED:
                 if len(self._words) >= MEMORY_ENTRIES:
                     self._words.clear()
-                known = self._words[word] = _packed(known)
+                self._words[word] = known
         return known
 
     def _encoded(self, piece: str) -> int:
@@ -218,8 +223,12 @@ class PrefixTokenCounter:
         known = self._chunks.get(chunk)
         if known is not None:
             return known
-        if chunk.isascii() and chunk.isalpha():  # one pre-token
-            return self._remember(chunk, self._pre_token_counts(chunk.lower()))
+        if chunk.isascii():
+            if chunk.isalpha():  # one pre-token
+                return self._remember(chunk, self._pre_token_counts(chunk.lower()))
+            if chunk[:-1].isalpha() and chunk.isprintable():  # one and a mark or digit
+                word = self._pre_token_counts(chunk[:-1].lower())
+                return self._remember(chunk, _packed([*word, word[-1] + self._pre_token_counts(chunk[-1])[-1]]))
         out: list[int] = []
         base = at = 0
         for m in self._special.finditer(chunk) if self._special and "<" in chunk else ():
@@ -258,7 +267,10 @@ class PrefixTokenCounter:
 
 
 def _packed(counts: list[int]) -> Sequence[int]:
-    return bytes(counts) if not counts or max(counts) < 256 else array("i", counts)
+    try:
+        return bytes(counts)
+    except ValueError:  # 256 tokens or more
+        return array("i", counts)
 
 
 class PrefixIndex:
