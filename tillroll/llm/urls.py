@@ -43,7 +43,7 @@ pharmacy payday warez keygen torrent malware phishing spam ads popup clickbait r
 #: How often a seed counts as a word, and as a token of unwanted hosts.
 SEED_WORDS, SEED_TOKENS = 100, 1
 #: Words of the unigram model and tokens of naive Bayes: the most frequent ones.
-MOST_WORDS, MOST_TOKENS = 100_000, 100_000
+MOST_WORDS, MOST_TOKENS = 20_000, 20_000
 #: Share of unwanted urls beforehand; tokens that each class has beforehand, spread as in both together.
 PRIOR_UNWANTED, PRIOR_TOKENS = 0.1, 20
 LONGEST_WORD = 24
