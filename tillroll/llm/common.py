@@ -15,7 +15,7 @@ from tillroll.sources import discard, materialise
 __all__ = ["ascii_lower", "discard", "hinted", "materialise", "prepare_workers", "read_table", "release", "reserved", "text_remainder"]
 
 #: Rows of one Arrow batch handed to Python: long texts make large batches.
-BATCH_ROWS = 1024
+BATCH_ROWS = 512
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -82,9 +82,9 @@ def least_matches(n: int) -> int:
 class ShingleOrder:
     """Rare shingles first, by hash; then the frequent ones by their documents."""
 
-    def __init__(self, frequent: dict[int, int]):
-        self.known = np.array(sorted(frequent), dtype=np.int64)
-        self.docs = np.array([frequent[k] for k in self.known.tolist()], dtype=np.int64)
+    def __init__(self, shingles: np.ndarray, docs: np.ndarray):
+        by_hash = np.argsort(shingles)
+        self.known, self.docs = shingles[by_hash], docs[by_hash]
 
     def sort(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hashes in order, and the documents known of each (0: rare)."""
@@ -444,7 +444,10 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     found = materialise(_nodes(docs, keys, text))
     rows = found.where("kind = 0")
     top = found.where("kind = 1").groupBy("node").agg(F.sum("n").alias("docs")).orderBy(F.desc("docs"), "node").limit(FREQUENT)
-    order = ShingleOrder({r["node"]: r["docs"] for r in top.collect()})
+    # As arrays: a row object for each of them would take the driver 100 MB.
+    top = top.toArrow()
+    order = ShingleOrder(top.column("node").to_numpy(), top.column("docs").to_numpy())
+    del top
     nodes = rows.where("n > 0").select("node", "n", "text_hash")
 
     minima = rows.where("n > 0").select("node", "n", F.posexplode("mins").alias("k", "value")).distinct()
