@@ -160,8 +160,7 @@ def _nodes(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def _texts(docs: DataFrame, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of each wanted node: one of the texts that has its set."""
-    chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    chosen = materialise(chosen)
+    chosen = materialise(nodes.join(wanted, "node", "left_semi").select("node", "text_hash"))
     found = docs.select(F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text")).join(hinted(chosen), "text_hash")
     return found.groupBy("node").agg(F.first("text").alias("text"))
 
@@ -448,7 +447,8 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     top = top.toArrow()
     order = ShingleOrder(top.column("node").to_numpy(), top.column("docs").to_numpy())
     del top
-    nodes = rows.where("n > 0").select("node", "n", "text_hash")
+    # One row a node: a large group of copies is counted down before it meets anything.
+    nodes = materialise(rows.where("n > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")))
 
     minima = rows.where("n > 0").select("node", "n", F.posexplode("mins").alias("k", "value")).distinct()
     minima = materialise(_shared_minima(minima))
