@@ -47,7 +47,7 @@ QUERY_BLOCK = 256
 #: Blocks that one task searches in a shard.
 BLOCKS_AT_ONCE = 32
 #: Regions and the sample of vectors that they are made from: they change the cost only.
-MAX_REGIONS, SAMPLE_ROWS = 4_096, 50_000
+MAX_REGIONS, SAMPLE_ROWS = 2_048, 20_000
 #: Regions that a block meets up to the end of each step; the last step takes the rest.
 STEPS = (1, 4, 16, 64)
 LEAF = 64
