@@ -215,3 +215,19 @@ def test_sources(spark, hist, tmp_path):
     assert sources.cleanup_paths(spark, [str(tmp_path / "x.parquet"), str(tmp_path / "none")]) == 1
     with pytest.raises(ValueError):
         sources.require_unique_items(spark.createDataFrame([("a",), ("a",)], "item_id string"))
+
+
+def test_categories_are_split_by_sets_and_lists_go_round(spark, tmp_path):
+    from tillroll.operators import model
+
+    rows = spark.range(400).select(F.col("id").cast("int").alias("customer_id"), F.lit("i").alias("item_id"), (F.col("id") % 5).cast("int").alias("code"), (F.col("id") % 7).cast("double").alias("x"))
+    rows = rows.withColumn("target", F.col("code").isin(0, 2, 4).cast("int"))  # no order of codes tells them apart at depth 1
+    fitted, auc = model.train_gbt(rows, ["code", "x"], model.TrainConfig(max_iter=1, max_depth=1, min_instances=1), categorical=["code"])
+    assert auc == 1.0 and model.predict_scores(rows, fitted).where("(score > 0.5) <> (target = 1)").count() == 0
+    held = sampling.stratified_split(rows, 0.1).where("holdout").groupBy("target").count().collect()
+    assert {r.target: r["count"] for r in held} == {1: 24, 0: 16}
+    lists = spark.createDataFrame([(1, ["a", "b"]), (2, [])], "customer_id int, items array<string>")
+    sources.export_lists(lists, str(tmp_path / "lists"))
+    assert sources.export_dict(lists, str(tmp_path / "lists.json")) == 2
+    for again in (sources.import_lists(spark, str(tmp_path / "lists")), sources.import_dict(spark, str(tmp_path / "lists.json"))):
+        assert {r.customer_id: r["items"] for r in again.collect()} == {1: ["a", "b"], 2: []}

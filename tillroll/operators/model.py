@@ -27,19 +27,37 @@ class TrainConfig:
     feature_subset: str = "0.8"
     min_instances: int = 100
     max_bins: int = 256
+    most_categories: int = 4096
     holdout: float = 0.1
     seed: int = 42
 
 
-def train_gbt(matrix: DataFrame, features: list[str], config: TrainConfig | None = None, weight: str | None = None) -> tuple[PipelineModel, float]:
-    """Fit on all but the holdout, which also stops early; model and holdout ROC AUC."""
+def _as_categories(rows: DataFrame, categorical: list[str], most: int) -> tuple[DataFrame, int]:
+    """Mark code columns as categories, which trees split by sets of codes; and the bins
+    that the largest takes. Columns of more than ``most`` codes stay ordered numbers."""
+    if not categorical:
+        return rows, 2
+    top = rows.agg(*[F.max(c).alias(c) for c in categorical]).first()
+    sizes = {c: int(top[c] or 0) + 1 for c in categorical if (top[c] or 0) < most}
+    marked = {c: F.col(c).cast("double").alias(c, metadata={"ml_attr": {"type": "nominal", "name": c, "num_vals": max(n, 2)}}) for c, n in sizes.items()}
+    return rows.select(*[marked.get(c, F.col(c)) for c in rows.columns]), max([2, *sizes.values()])
+
+
+def train_gbt(matrix: DataFrame, features: list[str], config: TrainConfig | None = None, weight: str | None = None, categorical: list[str] | None = None) -> tuple[PipelineModel, float]:
+    """Fit on all but the holdout, which also stops early; model and holdout ROC AUC.
+
+    ``categorical`` names the features that hold category codes. ``matrix`` should be
+    a written table: it is read several times.
+    """
     config = config or TrainConfig()
     rows = stratified_split(matrix, config.holdout, config.seed).withColumn("label", F.col("target").cast("double"))
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    ready = assembler.transform(rows.withColumns({c: F.col(c).cast("double") for c in features}))
+    chosen = [c for c in categorical or [] if c in features]
+    rows, bins = _as_categories(rows.withColumns({c: F.col(c).cast("double") for c in features}), chosen, config.most_categories)
+    ready = assembler.transform(rows)
     trees = GBTClassifier(
         maxIter=config.max_iter, maxDepth=config.max_depth, stepSize=config.step_size, subsamplingRate=config.subsampling_rate, featureSubsetStrategy=config.feature_subset,
-        minInstancesPerNode=config.min_instances, maxBins=config.max_bins, seed=config.seed, validationIndicatorCol="holdout", **({"weightCol": weight} if weight else {}),
+        minInstancesPerNode=config.min_instances, maxBins=max(config.max_bins, bins), seed=config.seed, validationIndicatorCol="holdout", **({"weightCol": weight} if weight else {}),
     )
     ready = ready.persist()
     try:

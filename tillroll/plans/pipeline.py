@@ -74,7 +74,7 @@ class Pipeline:
             if not sample.limit(1).count():
                 raise ValueError("the training sample is empty")
         with log_time("fit"):
-            fitted, auc = model.train_gbt(sample, [*spec.numeric, *spec.cat], c.train, "weight" if weighed is not None else None)
+            fitted, auc = model.train_gbt(sample, [*spec.numeric, *spec.cat], c.train, "weight" if weighed is not None else None, spec.cat)
             model.save_model(fitted, f"{self.work}/model")
             sources.write_csv(model.feature_importance(self.spark, fitted), f"{self.work}/feature_importance")
         log_step(f"holdout AUC {auc:.5f}")
