@@ -472,7 +472,9 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
 
 def with_smallest(found: DataFrame, key: str) -> DataFrame:
     """Add component_id: the smallest ``key`` of the component."""
-    smallest = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(key).alias("component_id"))
+    # Components of several rows only, by broadcast if they are few: a large one's rows needn't meet.
+    smallest = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(key).alias("component_id"), F.count("*").alias("rows"))
+    smallest = hinted(materialise(smallest.where("rows > 1").drop("rows")))
     return found.join(smallest, "component", "left").withColumn("component_id", F.coalesce("component_id", key))
 
 
@@ -486,7 +488,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     found = materialise(jaccard_components(hashed, ["key", "hash"], "text")).where(F.col("component").isNotNull())
     order = F.struct(F.col("key").isNull(), "key", "hash")
     kept = found.groupBy("component").agg(F.min(order).alias("kept"), F.count("*").alias("rows")).where("rows > 1")
-    rows = materialise(found.join(kept, "component").select("key", "hash", (order != F.col("kept")).alias("goes")))
+    rows = materialise(found.join(hinted(materialise(kept)), "component").select("key", "hash", (order != F.col("kept")).alias("goes")))
     repeated = rows.where("NOT goes").groupBy("key", "hash").count().where("count > 1").select("key", "hash")
     gone = materialise(rows.where("goes").select("key", "hash").distinct().unionByName(repeated))
     own = reserved(docs, "key", "hash")
