@@ -119,8 +119,8 @@ def _top_items(known: DataFrame, key: str, k: int, rank: str) -> DataFrame:
     return top_per_key(_popularity(known, key, "item_id"), [key], order, k, rank).select(key, "item_id", rank)
 
 
-def cooccurrence_pairs(hist: DataFrame, anchors: DataFrame, co_top_k: int, max_bill_items: int) -> DataFrame:
-    """Items bought with each anchor item on most bills: anchor_item_id, item_id, rank.
+def cooccurrence_pairs(hist: DataFrame, anchors: DataFrame | None, co_top_k: int, max_bill_items: int) -> DataFrame:
+    """Items bought with each anchor item (without ``anchors``: each item) on most bills: anchor_item_id, item_id, rank.
 
     Bills of more than ``max_bill_items`` items are left out. A bill's items are
     one array, so pairs come from the bill's row with no self-join, at most
@@ -129,7 +129,8 @@ def cooccurrence_pairs(hist: DataFrame, anchors: DataFrame, co_top_k: int, max_b
     lines = hist.select("bill_id", "item_id").distinct()
     lines = top_per_key(lines, ["bill_id"], [F.asc("item_id")], max_bill_items + 1, "place")
     bills = lines.groupBy("bill_id").agg(F.collect_list("item_id").alias("items")).where(F.size("items") <= max_bill_items)
-    first = bills.select("items", F.explode("items").alias("anchor_item_id")).join(anchors, "anchor_item_id", "left_semi")
+    first = bills.select("items", F.explode("items").alias("anchor_item_id"))
+    first = first if anchors is None else first.join(anchors, "anchor_item_id", "left_semi")
     pairs = first.select("anchor_item_id", F.explode("items").alias("item_id")).where("anchor_item_id <> item_id")
     counted = pairs.groupBy("anchor_item_id", "item_id").agg(F.count("*").alias("n_co_bills"))
     return top_per_key(counted, ["anchor_item_id"], [F.desc("n_co_bills"), F.asc("item_id")], co_top_k, "cooccurrence_rank")
@@ -143,16 +144,19 @@ def cooccurrence_candidates(
     max_bill_items: int = 30,
     source: str | None = "cooccurrence",
     frequent: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Items bought along with a customer's most frequent ones; a pair may come by several.
 
     ``frequent``, if given, holds the ``anchor_top_k`` items of each customer; else
-    they are taken from ``hist``. Lines of bills are needed of ``hist``, not cells.
+    they are taken from ``hist``. Lines of bills are needed of ``hist``, not cells;
+    ``pairs``, if given, are :func:`cooccurrence_pairs` of all these items or more.
     """
     if frequent is None:
         frequent = frequent_items(hist, active, anchor_top_k, "anchor_rank")
     own = frequent.select("customer_id", F.col("item_id").alias("anchor_item_id"))
-    pairs = cooccurrence_pairs(hist, own.select("anchor_item_id").distinct(), co_top_k, max_bill_items)
+    if pairs is None:
+        pairs = cooccurrence_pairs(hist, own.select("anchor_item_id").distinct(), co_top_k, max_bill_items)
     return _named(own.join(pairs, "anchor_item_id").select("customer_id", "item_id", "cooccurrence_rank"), source)
 
 
@@ -193,10 +197,11 @@ def build_candidates(
     co_top_k: int = 8,
     max_bill_items: int = 20,
     co_hist: DataFrame | None = None,
+    co_pairs: DataFrame | None = None,
     cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Merged candidates; sources without a size are left out. Co-purchases may come
-    from a history of their own, ``co_hist``.
+    from a history of their own, ``co_hist``, or from pairs at hand, ``co_pairs``.
 
     ``cut`` is applied to what several sources start from: active customers, cells
     and frequent items. Where it writes them, the history is read three times in all.
@@ -212,5 +217,5 @@ def build_candidates(
         sources.append(location_popular_candidates(cells, active, user_top_locations, items_per_location))
     if include_cooccurrence:
         same = frequent if co_hist is None and anchor_top_k == frequent_top_k else None
-        sources.append(cooccurrence_candidates(hist if co_hist is None else co_hist, active, anchor_top_k, co_top_k, max_bill_items, frequent=same))
+        sources.append(cooccurrence_candidates(hist if co_hist is None else co_hist, active, anchor_top_k, co_top_k, max_bill_items, frequent=same, pairs=co_pairs))
     return merge_candidates(sources)

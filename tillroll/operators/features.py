@@ -6,7 +6,7 @@ if not given. "Within 30 days" takes both ends, so 31 calendar days.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -94,9 +94,10 @@ def bill_items(hist: DataFrame) -> DataFrame:
     return hist.groupBy("customer_id", "bill_id", "item_id").agg(F.count("*").alias("n"), total("quantity").alias("q"), total(F.col("price") * F.col("quantity")).alias("value"))
 
 
-def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column, pairs: DataFrame | None = None, baskets: DataFrame | None = None) -> DataFrame:
+def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column, pairs: DataFrame | None = None, baskets: DataFrame | None = None, n_bills: bool = True) -> DataFrame:
     """Of each item: by customer first, so that a popular item's customers and lines
-    are reduced before they meet. ``pairs`` and ``baskets`` as made of ``hist``, if at hand."""
+    are reduced before they meet. ``pairs`` and ``baskets`` as made of ``hist``, if at hand;
+    without ``n_bills`` its column, a pass over the lines, is left out."""
     each = purchase_pairs(hist, max_date) if pairs is None else pairs
     average = lambda k: F.try_divide(F.sum(f"s_{k}").cast("double"), F.sum(f"c_{k}"))
     item = each.groupBy("item_id").agg(
@@ -114,8 +115,10 @@ def make_item_features(hist: DataFrame, meta: DataFrame, max_date: Column, pairs
         F.sum("n30").alias("item_n_transactions_30d"),
         F.sum("n60").alias("item_n_transactions_60d"),
     )
-    bills = (hist if baskets is None else baskets).groupBy("item_id").agg(F.count_distinct("bill_id").alias("item_n_bills"))
-    whole = item.join(bills, "item_id").join(meta, "item_id", "left")
+    if n_bills:
+        bills = (hist if baskets is None else baskets).groupBy("item_id").agg(F.count_distinct("bill_id").alias("item_n_bills"))
+        item = item.join(bills, "item_id")
+    whole = item.where(F.col("item_id").isNotNull()).join(meta, "item_id", "left")
     return whole.withColumns({f"item_transaction_share_{d}d": ratio(f"item_n_transactions_{d}d", "item_n_transactions") for d in (30, 60)})
 
 
@@ -194,7 +197,7 @@ def make_item_location_features(hist: DataFrame) -> DataFrame:
     return places.withColumnRenamed("location", "user_main_location")
 
 
-def make_feature_sources(hist: DataFrame, items: DataFrame, max_date: Column | None = None) -> dict[str, DataFrame]:
+def make_feature_sources(hist: DataFrame, items: DataFrame, max_date: Column | None = None, item_n_bills: bool = True) -> dict[str, DataFrame]:
     """The thirteen tables by name, in the order in which they are joined."""
     max_date = max_date_of(hist) if max_date is None else max_date
     meta = make_item_meta(items)
@@ -203,7 +206,7 @@ def make_feature_sources(hist: DataFrame, items: DataFrame, max_date: Column | N
         "user": make_user_features(hist, max_date),
         "user_basket": make_user_basket_features(hist),
         "user_main_location": make_user_main_location(hist),
-        "item": make_item_features(hist, meta, max_date),
+        "item": make_item_features(hist, meta, max_date, n_bills=item_n_bills),
         "item_basket": make_item_basket_features(hist),
         "item_location": make_item_location_features(hist),
         **{f"user_{column}": taxonomy(column=column, prefix=prefix) for column, prefix in TAXONOMY.items()},
@@ -252,33 +255,61 @@ JOIN_KEYS = {
 }
 
 
-def join_features(dataset: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+SHARES = ("uc", "ub", "ul1", "ul2", "ul3", "uman")
+#: The cross features, and what each is made of.
+CROSS = {
+    **{f"{p}_transaction_share": (f"{p}_n_transactions", "user_n_transactions") for p in SHARES},
+    "item_price_to_user_avg": ("item_avg_price", "user_avg_price"),
+    "item_price_user_avg_abs_diff": ("item_avg_price", "user_avg_price"),
+    "item_price_in_user_iqr": ("item_avg_price", "user_price_p25", "user_price_p75"),
+    "item_user_discount_rate_diff": ("item_avg_discount_rate", "user_avg_discount_rate"),
+    "item_main_location_transaction_share": ("item_location_transactions", "item_n_transactions"),
+}
+
+
+def choose_sources(sources: dict[str, DataFrame], columns: Iterable[str]) -> dict[str, DataFrame]:
+    """Of the thirteen tables those that ``columns`` of the assembly are made of, with the columns that it takes."""
+    need = {x for c in columns for x in (c, *CROSS.get(c, ()))}
+    chosen = {}
+    for name, keys in reversed(JOIN_KEYS.items()):  # a table's keys may be an earlier one's columns
+        if name in sources and (own := [c for c in sources[name].columns if c in need and c not in keys]):
+            chosen[name] = sources[name].select(*keys, *own)
+            need.update(keys)
+    return {name: chosen[name] for name in JOIN_KEYS if name in chosen}
+
+
+def join_features(dataset: DataFrame, sources: dict[str, DataFrame], columns: Iterable[str] | None = None) -> DataFrame:
     """Left-join the tables to candidate pairs, fill counts and add cross features.
 
     Customer tables share the dataset's partitioning by customer_id; item tables
-    are for Spark to broadcast if they are small.
+    are for Spark to broadcast if they are small. With ``columns`` only those are
+    made and returned, and only the tables read that they are made of.
     """
     wide = dataset
+    chosen = sources if columns is None else choose_sources(sources, columns)
     for name, keys in JOIN_KEYS.items():
-        wide = wide.join(sources[name], keys, "left")
+        wide = wide.join(chosen[name], keys, "left") if name in chosen else wide
+    there = lambda *names: columns is None or {*names} <= {*wide.columns}
     zero = ["ui_n_transactions", "ui_n_bills", "ui_total_quantity"]
     zero += [f"{p}_{c}" for p in ("uc", "ub") for c in ("n_transactions", "n_bills", "total_quantity")]
     zero += [f"{p}_n_transactions" for p in ("ul1", "ul2", "ul3", "uman")]
     zero += ["ui_n_transactions_30d", "ui_n_transactions_60d", "item_location_transactions", "item_location_customers"]
-    filled = {c: F.coalesce(c, F.lit(0)).cast("int") for c in zero}
-    wide = wide.withColumns(filled | {"ui_recency_days": F.coalesce("ui_recency_days", F.lit(NEVER)).cast("int")})
+    filled = {c: F.coalesce(c, F.lit(0)).cast("int") for c in zero if there(c)}
+    if there("ui_recency_days"):
+        filled["ui_recency_days"] = F.coalesce("ui_recency_days", F.lit(NEVER)).cast("int")
+    wide = wide.withColumns(filled) if filled else wide
     price, own = F.col("item_avg_price"), F.col("user_avg_price")
     within = (price >= F.col("user_price_p25")) & (price <= F.col("user_price_p75"))
-    return wide.withColumns(
-        {f"{p}_transaction_share": ratio(f"{p}_n_transactions", "user_n_transactions") for p in ("uc", "ub", "ul1", "ul2", "ul3", "uman")}
-        | {
-            "item_price_to_user_avg": ratio(price, own),
-            "item_price_user_avg_abs_diff": F.coalesce(F.abs(price - own), F.lit(0.0)),
-            "item_price_in_user_iqr": F.coalesce(within, F.lit(False)).cast("byte"),
-            "item_user_discount_rate_diff": F.coalesce(F.col("item_avg_discount_rate") - F.col("user_avg_discount_rate"), F.lit(0.0)),
-            "item_main_location_transaction_share": ratio("item_location_transactions", "item_n_transactions"),
-        }
-    )
+    cross = {f"{p}_transaction_share": ratio(f"{p}_n_transactions", "user_n_transactions") for p in SHARES} | {
+        "item_price_to_user_avg": ratio(price, own),
+        "item_price_user_avg_abs_diff": F.coalesce(F.abs(price - own), F.lit(0.0)),
+        "item_price_in_user_iqr": F.coalesce(within, F.lit(False)).cast("byte"),
+        "item_user_discount_rate_diff": F.coalesce(F.col("item_avg_discount_rate") - F.col("user_avg_discount_rate"), F.lit(0.0)),
+        "item_main_location_transaction_share": ratio("item_location_transactions", "item_n_transactions"),
+    }
+    made = {c: e for c, e in cross.items() if columns is None or c in columns}
+    wide = wide.withColumns(made) if made else wide
+    return wide if columns is None else wide.select(*columns)
 
 
 def build_features(hist: DataFrame, dataset: DataFrame, items: DataFrame, max_date: Column | None = None) -> DataFrame:

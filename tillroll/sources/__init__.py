@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import tempfile
 from concurrent.futures import ThreadPoolExecutor
@@ -121,6 +122,15 @@ def discard(*tables: DataFrame) -> None:
         remove_path(df.sparkSession, df.scratch_path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing holds any more.
+
+    It does so when the driver's garbage is collected.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     """Rows of a dataset, from the files' footers."""
     return spark.read.parquet(path).count()
