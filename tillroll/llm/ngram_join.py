@@ -61,6 +61,8 @@ CELLS = 256
 HELD_BYTES = 64 << 20
 #: Nodes of one shingle that meet in one group, and rows of shingles and nodes that do.
 BLOCK, GROUP_ROWS = 2_000, 50_000
+#: Times that each node is compared with one other before all pairs that are left.
+ROUNDS = 3
 
 
 def needed(n: np.ndarray | int, m: np.ndarray | int):
@@ -433,6 +435,34 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     return materialise(sorted_groups.mapInArrow(_group_candidates, "a long, b long").distinct())
 
 
+def _joined(pairs: DataFrame, component: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """Components after the links among ``pairs`` (a, b), a written table.
+
+    A group of M components that are one has up to M x M pairs; a few links join it.
+    So each node is first compared with the one of most pairs, and pairs that are
+    within one component by then go; what is left after ROUNDS is compared whole.
+    """
+    for k in range(ROUNDS + 1):
+        if pairs.isEmpty():
+            break
+        chosen = pairs
+        if k < ROUNDS:
+            most = hinted(materialise(pairs.groupBy("a").agg(F.count("*").alias("pairs"))))
+            chosen = materialise(pairs.join(most, "a").groupBy("b").agg(F.max_by("a", F.struct("pairs", "a")).alias("a")).select("a", "b"))
+        links = _verified(chosen, docs, text, nodes)
+        component = connected(links.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        if k < ROUNDS:
+            left = pairs.join(hinted(chosen), ["a", "b"], "left_anti")
+            of = hinted(component)
+            for side in ("a", "b"):
+                left = left.join(of.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
+            apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+            pairs, before = materialise(left.where(apart).select("a", "b")), pairs
+            del left, of
+            release(before, chosen)
+    return component
+
+
 def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``keys``, n_shingles, node and component of each document.
 
@@ -462,9 +492,7 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     links = links.unionByName(_verified(other, docs, text, nodes))
     component = connected(links)
     release(minima, stars, other)
-    more = _verified(_cross_pairs(docs, text, nodes, order, component), docs, text, nodes)
-    merged = more.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    component = connected(merged)
+    component = _joined(_cross_pairs(docs, text, nodes, order, component), component, docs, text, nodes)
     labelled = _with_component(rows, hinted(component)).withColumn("component", F.when(F.col("n") > 0, F.col("component")))
     names = [F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]
     return labelled.select(*names, F.col("n").alias("n_shingles"), "node", "component")
