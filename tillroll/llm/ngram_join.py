@@ -19,8 +19,11 @@ their least and greatest component with partial aggregation, and only pairs acro
 components, each at the first shingle that it shares. Shingles that share nodes meet
 in one group where possible, so that a node's rows are few: by labels spread twice
 between shingles and nodes. Large groups are split by shingle, and a shingle of more
-than BLOCK nodes is a group of its own, split to pairs of blocks of nodes. Each of
-these steps is exact: none drops a link that could join two components.
+than BLOCK nodes is a group of its own, split to pairs of blocks of nodes. A group
+compares its candidates' whole sets where they meet and passes over those that its
+links have joined by then: it gives fewer links than it has nodes, and candidate
+pairs are never rows. Each of these steps is exact: none drops a link that could
+join two components.
 
 Defined results: a null or empty text, or one without words, has no shingles, no
 links and its own id; equal sets are linked whatever the text; null ids are passed
@@ -31,7 +34,7 @@ sets share one with probability 2^-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log2
 
 import numpy as np
@@ -266,12 +269,12 @@ def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
     return rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-PAYLOAD = "node long, n int, size int, matches int, end_docs long, end_shingle long, cells binary"
+PAYLOAD = "node long, n int, size int, matches int, end_docs long, end_shingle long, cells binary, text string"
 
 
 def _payloads(texts: DataFrame, order: ShingleOrder) -> DataFrame:
     """What a node brings to the comparison with others at a shingle: besides sizes
-    and l, the end of its prefix in the order, and the histogram of its set."""
+    and l, the end of its prefix in the order, the histogram of its set, and its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _rows(batches, 1):
@@ -283,18 +286,19 @@ def _payloads(texts: DataFrame, order: ShingleOrder) -> DataFrame:
                     cells = cells[:0]
                 out.append((node, len(s), len(prefix), matches, int(docs[-1]), int(prefix[-1]), cells.tobytes()))
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)], names=[x.split()[0] for x in PAYLOAD.split(", ")])
+            made = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)]
+            yield pa.RecordBatch.from_arrays([*made, batch.column(1)], names=[x.split()[0] for x in PAYLOAD.split(", ")])
 
     return texts.select("node", "text").mapInArrow(run, PAYLOAD)
 
 
-def candidates(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple]) -> list[tuple[int, int]]:
-    """Pairs of a group's nodes, of different components, that may be linked and
-    whose first shared shingle is one of the group's.
+def group_links(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, right: np.ndarray, payload: list[tuple], whole: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
+    """Links of a group's nodes that join its components as all links would do whose
+    pair's first shared shingle is one of the group's: fewer than there are nodes.
 
     ``left``, ``right``: whether a node stands on that side of the pair of blocks.
     ``payload``: n, size of the prefix, l, end, shingles of the group, all shared
-    shingles, and cells of each node.
+    shingles, and cells of each node; ``whole`` gives the set of the node at a place.
     """
     n, size, matches = (np.array([p[k] for p in payload]) for k in range(3))
     by_end = {e: k for k, e in enumerate(sorted({p[3] for p in payload}))}
@@ -308,32 +312,37 @@ def candidates(nodes: np.ndarray, components: np.ndarray, left: np.ndarray, righ
     order = np.argsort(everything, kind="stable")
     holders = np.repeat(np.arange(len(own)), lengths)[order]
     ordered = everything[order]
+    # What the links found so far have joined: pairs within it need no comparison.
+    of = np.unique(components, return_inverse=True)[1]
     found = []
     for x in np.flatnonzero(left):
         first, last = np.searchsorted(ordered, own[x]), np.searchsorted(ordered, own[x], side="right")
         others = np.unique(np.concatenate([holders[a:b] for a, b in zip(first.tolist(), last.tolist())]))
-        others = others[right[others] & (components[others] != components[x])]
+        others = others[right[others] & (of[others] != of[x])]
         others = others[(others > x) | ~left[others]] if right[x] else others
         least = needed(n[x], n[others])
         fits = np.minimum(n[x], n[others]) >= least
         most = np.minimum(cells[others], cells[x]).sum(axis=1, dtype=np.int64)
         fits &= (most >= least) | ~exact[others] | ~exact[x]
         for y, need in zip(others[fits].tolist(), least[fits].tolist()):
+            if of[x] == of[y]:
+                continue
             common = np.intersect1d(shared[x], shared[y], assume_unique=True)
             at = np.searchsorted(own[x], common[0])
             if at == len(own[x]) or own[x][at] != common[0] or len(common) < min(matches[x], matches[y]):
                 continue
             # Shingles past the earlier end: at most what is left of the set that ends there.
             rest = min(n[z] - size[z] for z in (x, y) if end[z] == min(end[x], end[y]))
-            if len(common) + rest >= need:
+            if len(common) + rest >= need and overlap(whole(x), whole(y)) >= need:
                 found.append((int(nodes[x]), int(nodes[y])))
+                of[of == of[y]] = of[x]
     return found
 
 
 _GROUP = ("label", "part", "i", "j")
 
 
-def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; a group that spans batches is carried over."""
     held: list[pa.RecordBatch] = []
 
@@ -344,7 +353,14 @@ def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         ends = zip(table.column("end_docs").to_pylist(), table.column("end_shingle").to_pylist())
         cells = [np.frombuffer(c, dtype=np.uint8) for c in table.column("cells").to_pylist()]
         payload = list(zip(*[table.column(c).to_pylist() for c in ("n", "size", "matches")], ends, *lists, cells))
-        return candidates(table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload)
+        texts, made = table.column("text"), {}
+
+        def whole(at: int) -> np.ndarray:
+            if at not in made:
+                made[at] = shingle_sets([texts[at].as_py()])[0]
+            return made[at]
+
+        return group_links(table.column("node").to_numpy(), table.column("component").to_numpy(), block == i, block == j, payload, whole)
 
     def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = ([min(p) for p in pairs], [max(p) for p in pairs])
@@ -356,8 +372,15 @@ def _group_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             change[1:] |= k[1:] != k[:-1]
         return [0, *np.flatnonzero(change).tolist(), table.num_rows]
 
+    def group_at(batch: pa.RecordBatch, row: int) -> list:
+        return [batch.column(c)[row] for c in _GROUP]
+
     for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
+        if group_at(held[0], 0) == group_at(batch, batch.num_rows - 1):
+            continue
         table = pa.Table.from_batches(held).combine_chunks()
         cuts = cuts_of(table)
         yield out([p for a, b in zip(cuts[:-2], cuts[1:-1]) for p in solve(table.slice(a, b - a))])
@@ -404,8 +427,8 @@ def _joining(members: DataFrame) -> DataFrame:
     return members.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
 
 
-def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrder, component: DataFrame) -> DataFrame:
-    """Candidate pairs across components."""
+def _cross_links(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrder, component: DataFrame) -> DataFrame:
+    """Links (a, b) that join what components all links across them would join; written."""
     component = hinted(component)
     joining = materialise(_joining(_with_component(_prefix_rows(docs, text, order), component)))
     members = _with_component(_prefix_rows(docs, text, order, _bit_map(joining)), component)
@@ -422,9 +445,13 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     shared = members.groupBy("node").agg(F.array_sort(F.collect_list("shingle")).alias("shared"))
     payload = _payloads(_texts(docs, text, nodes, shared.select("node")), order).join(shared, "node")
     sizes = members.groupBy("shingle").agg(F.count("*").alias("members"))
-    placed = materialise(_labelled(members.drop("need")).join(sizes, "shingle"))
+    placed = materialise(_labelled(members).join(sizes, "shingle"))
     large = F.col("members") > BLOCK
-    of_label = placed.where(~large).groupBy("label").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
+    # A set of n asks for 1 + 0.04 n shingles, so its bytes are bounded by that.
+    set_bytes = F.first("need") * (8 * 10_000 // (LEAST_MATCHES * PERCENT))
+    of_node = placed.where(~large).groupBy("label", "node").agg(F.count("*").alias("rows"), set_bytes.alias("bytes"))
+    parts = F.greatest(F.ceil(F.sum("rows") / GROUP_ROWS), F.ceil(F.sum("bytes") / HELD_BYTES))
+    of_label = of_node.groupBy("label").agg(parts.cast("int").alias("parts"))
     together = placed.where(~large).join(hinted(of_label), "label").withColumn("part", F.pmod(F.xxhash64("shingle"), F.col("parts")).cast("int"))
     together = together.select("label", "part", "node", "component", "shingle", F.lit(1).alias("blocks"))
     alone = placed.where(large).select(F.col("shingle").alias("label"), F.lit(-1).alias("part"), "node", "component", "shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
@@ -432,11 +459,13 @@ def _cross_pairs(docs: DataFrame, text: str, nodes: DataFrame, order: ShingleOrd
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
     sorted_groups = rows.join(payload, "node").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-    return materialise(sorted_groups.mapInArrow(_group_candidates, "a long, b long").distinct())
+    links = materialise(sorted_groups.mapInArrow(_group_links, "a long, b long"))
+    release(members, placed)
+    return links
 
 
 def _joined(pairs: DataFrame, component: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """Components after the links among ``pairs`` (a, b), a written table.
+    """Components after the links among ``pairs`` (a, b), a written table of pairs at hand.
 
     A group of M components that are one has up to M x M pairs; a few links join it.
     So each node is first compared with the one of most pairs, and pairs that are
@@ -492,7 +521,8 @@ def jaccard_components(docs: DataFrame, keys: list[str], text: str = "text") ->
     links = links.unionByName(_verified(other, docs, text, nodes))
     component = connected(links)
     release(minima, stars, other)
-    component = _joined(_cross_pairs(docs, text, nodes, order, component), component, docs, text, nodes)
+    links = links.unionByName(_cross_links(docs, text, nodes, order, component))
+    component = connected(links)
     labelled = _with_component(rows, hinted(component)).withColumn("component", F.when(F.col("n") > 0, F.col("component")))
     names = [F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]
     return labelled.select(*names, F.col("n").alias("n_shingles"), "node", "component")
