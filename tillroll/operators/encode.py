@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tillroll.sources import materialise
 
 UNKNOWN = "unknown"
 
@@ -93,8 +94,12 @@ def fit_preprocess(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selec
 
 
 def prepare_train_matrix(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selected: list[str] | None = None, blocked: Iterable[str] = (), keep_ids: bool = True) -> tuple[DataFrame, PreprocessSpec, DataFrame]:
-    """Matrix with target, spec and mappings; with the ids, which seeded sampling needs."""
+    """Matrix with target, spec and mappings; with the ids, which seeded sampling needs.
+
+    The mappings are written: of known size, they are broadcast, and ``df`` isn't shuffled.
+    """
     spec, mappings = fit_preprocess(df, drop, cat, selected, blocked)
+    mappings = materialise(mappings)
     return prepare_matrix(df, spec, mappings, ["customer_id", "item_id", "target"] if keep_ids else ["target"]), spec, mappings
 
 
