@@ -122,14 +122,28 @@ def _top_items(known: DataFrame, key: str, k: int, rank: str) -> DataFrame:
 def cooccurrence_pairs(hist: DataFrame, anchors: DataFrame | None, co_top_k: int, max_bill_items: int) -> DataFrame:
     """Items bought with each anchor item (without ``anchors``: each item) on most bills: anchor_item_id, item_id, rank.
 
-    Bills of more than ``max_bill_items`` items are left out. A bill's items are
-    one array, so pairs come from the bill's row with no self-join, at most
-    max_bill_items squared of them; of larger bills one item more is gathered.
+    Bills of more than ``max_bill_items`` items are left out.
     """
-    lines = hist.select("bill_id", "item_id").distinct()
+    return pairs_of_bills(small_bills(hist, max_bill_items), anchors, co_top_k)
+
+
+def small_bills(hist: DataFrame, max_bill_items: int) -> DataFrame:
+    """items, an array, of each bill of at most ``max_bill_items``; of larger ones one item more is gathered.
+
+    Lines are dealt by bill once: its distinct items, their places and the array all come of that.
+    """
+    lines = hist.select("bill_id", "item_id").repartition("bill_id").distinct()
     lines = top_per_key(lines, ["bill_id"], [F.asc("item_id")], max_bill_items + 1, "place")
-    bills = lines.groupBy("bill_id").agg(F.collect_list("item_id").alias("items")).where(F.size("items") <= max_bill_items)
+    return lines.groupBy("bill_id").agg(F.collect_list("item_id").alias("items")).where(F.size("items") <= max_bill_items).select("items")
+
+
+def pairs_of_bills(bills: DataFrame, anchors: DataFrame | None, co_top_k: int, chunk: int = 0, n_chunks: int = 1) -> DataFrame:
+    """:func:`cooccurrence_pairs` from :func:`small_bills`, for one of ``n_chunks`` remainders of anchor items.
+
+    Pairs come from the bill's row with no self-join, at most the square of its items.
+    """
     first = bills.select("items", F.explode("items").alias("anchor_item_id"))
+    first = first if n_chunks <= 1 else first.where(F.pmod(F.xxhash64("anchor_item_id"), F.lit(n_chunks)) == chunk)
     first = first if anchors is None else first.join(anchors, "anchor_item_id", "left_semi")
     pairs = first.select("anchor_item_id", F.explode("items").alias("item_id")).where("anchor_item_id <> item_id")
     counted = pairs.groupBy("anchor_item_id", "item_id").agg(F.count("*").alias("n_co_bills"))

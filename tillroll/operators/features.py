@@ -174,10 +174,12 @@ def make_user_basket_features(hist: DataFrame, baskets: DataFrame | None = None)
     return bills.groupBy("customer_id").agg(*[mean(c).alias(n) for c, n in named.items()])
 
 
-def make_item_basket_features(hist: DataFrame, baskets: DataFrame | None = None) -> DataFrame:
-    """Averages of the bills that an item is on, each of its lines counting."""
+def make_item_basket_features(hist: DataFrame, baskets: DataFrame | None = None, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Averages of the bills that an item is on, each of its lines counting. ``cut`` is
+    applied to the bills: where it writes them, their shuffles go before the lines are read."""
     baskets = bill_items(hist) if baskets is None else baskets
     bills = baskets.groupBy("bill_id").agg(F.count_distinct("item_id").alias("items"), F.sum("value").alias("bill_value"))
+    bills = cut(bills)
     lines = baskets.select("bill_id", "item_id", "n").join(bills, "bill_id")
     average = lambda c: F.try_divide(F.sum(F.col(c) * F.col("n")).cast("double"), F.sum("n"))
     return lines.groupBy("item_id").agg(average("items").alias("item_avg_bill_items"), average("bill_value").alias("item_avg_bill_value"))

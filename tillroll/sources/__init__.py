@@ -97,14 +97,14 @@ _local: dict[str, str] = {}
 _leaving: set[str] = set()
 
 
-def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialise(df: DataFrame, partition_by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and return it read back.
 
     Lineage ends there: executors may be lost, later steps read only the columns
     that they need, and sizes are known to the planner.
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     out.scratch_path = path
     return out
