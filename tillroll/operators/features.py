@@ -145,8 +145,8 @@ def _taxonomy_aggregates(prefix: str, max_date: Column) -> list[Column]:
 
 
 def make_user_taxonomy_features(hist: DataFrame, meta: DataFrame, column: str, prefix: str, max_date: Column) -> DataFrame:
-    """Of each customer and value of an item column; items without a value are left out."""
-    known = hist.join(meta.where(F.col(column).isNotNull()).select("item_id", column), "item_id")
+    """Of each customer and value of an item column; items without a value are left out. Lines may have the column."""
+    known = hist.where(F.col(column).isNotNull()) if column in hist.columns else hist.join(meta.where(F.col(column).isNotNull()).select("item_id", column), "item_id")
     return known.groupBy("customer_id", column).agg(*_taxonomy_aggregates(prefix, max_date))
 
 
@@ -185,6 +185,28 @@ def make_item_basket_features(hist: DataFrame, baskets: DataFrame | None = None,
     return lines.groupBy("item_id").agg(average("items").alias("item_avg_bill_items"), average("bill_value").alias("item_avg_bill_value"))
 
 
+#: Columns of :func:`make_item_basket_features` and the sum that each is made of.
+BASKET_SUMS = {"item_avg_bill_items": "s_items", "item_avg_bill_value": "s_value"}
+
+
+def item_basket_sums(hist: DataFrame) -> DataFrame:
+    """What :func:`make_item_basket_features` divides, by item: those of different bills add up.
+
+    Lines are dealt by bill once; a bill's items, value and lines all come of that.
+    """
+    lines = hist.select("bill_id", "item_id", (F.col("price") * F.col("quantity")).alias("value")).where(F.col("bill_id").isNotNull()).repartition("bill_id")
+    each = lines.groupBy("bill_id", "item_id").agg(F.count("*").alias("n"), total("value").alias("value"))
+    bills = each.groupBy("bill_id").agg(F.count("item_id").alias("items"), F.sum("value").alias("bill_value"), F.collect_list(F.struct("item_id", "n")).alias("lines"))
+    again = bills.select("items", "bill_value", F.explode("lines").alias("line")).select("items", "bill_value", "line.*")
+    return again.groupBy("item_id").agg(F.sum(F.col("items") * F.col("n")).alias("s_items"), F.sum(F.col("bill_value") * F.col("n")).alias("s_value"), F.sum("n").alias("n"))
+
+
+def item_baskets_of(sums: DataFrame) -> DataFrame:
+    """The averages from :func:`item_basket_sums`, of one or several sets of bills; those that there are sums for."""
+    average = lambda c: F.try_divide(F.sum(c).cast("double"), F.sum("n"))
+    return sums.groupBy("item_id").agg(*[average(s).alias(c) for c, s in BASKET_SUMS.items() if s in sums.columns])
+
+
 def make_user_main_location(hist: DataFrame) -> DataFrame:
     """The place of most of a customer's lines; ties to the smaller, null last. From lines or cells."""
     counted = hist.groupBy("customer_id", "location").agg(n_lines(hist).alias("n"))

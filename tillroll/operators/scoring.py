@@ -22,10 +22,11 @@ def normalized_log_feature(df: DataFrame, column: str) -> Column:
     return value / F.lit(most) if most > 0 else F.lit(0.0)
 
 
-def adjust_prediction_scores(df: DataFrame, repeat_boost: float = 0.02, affinity_boost: float = 0.015, popularity_penalty: float = 0.0) -> DataFrame:
+def adjust_prediction_scores(df: DataFrame, repeat_boost: float = 0.02, affinity_boost: float = 0.015, popularity_penalty: float = 0.0, every: DataFrame | None = None) -> DataFrame:
     """Raise repeats and favourite categories and brands, lower popular items.
 
-    Columns that ``df`` lacks are passed over.
+    Columns that ``df`` lacks are passed over. Where ``df`` is a part of the rows, ``every``
+    has the item_n_customers of all of them, once or more often.
     """
     score = F.col("score")
     if repeat_boost and "ui_n_transactions" in df.columns:
@@ -34,7 +35,7 @@ def adjust_prediction_scores(df: DataFrame, repeat_boost: float = 0.02, affinity
         if affinity_boost and c in df.columns:
             score = score + F.lit(affinity_boost) * _unit(c)
     if popularity_penalty and "item_n_customers" in df.columns:
-        score = score - F.lit(popularity_penalty) * normalized_log_feature(df, "item_n_customers")
+        score = score - F.lit(popularity_penalty) * normalized_log_feature(df if every is None else every, "item_n_customers")
     return df.withColumn("score", score)
 
 

@@ -97,28 +97,49 @@ _local: dict[str, str] = {}
 _leaving: set[str] = set()
 
 
-def materialise(df: DataFrame, partition_by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
+def materialise(df: DataFrame, partition_by: tuple[str, ...] = (), codec: str = "snappy", file_rows: int = 0) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and return it read back.
 
     Lineage ends there: executors may be lost, later steps read only the columns
-    that they need, and sizes are known to the planner.
+    that they need, and sizes are known to the planner. ``file_rows``, if given, is
+    the most rows of a file.
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path, compression=codec)
+    df.write.partitionBy(*partition_by).option("maxRecordsPerFile", file_rows).parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     out.scratch_path = path
     return out
 
 
+def materialise_dealt(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Like :func:`materialise`, dealt by ``key`` to ``n`` buckets: what is grouped or joined by it, or by
+    it and more, is dealt no more."""
+    name = f"dealt_{uuid4().hex}"
+    path = f"{scratch_folder(df.sparkSession)}/{name}"
+    df.repartition(n, key).write.bucketBy(n, key).options(path=path, compression="zstd").saveAsTable(name, format="parquet")
+    out = df.sparkSession.table(name)
+    out.scratch_path, out.scratch_table = path, name
+    return out
+
+
 def materialise_all(tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
     """Each of ``tables`` written and read back, several at the same time."""
     with ThreadPoolExecutor(at_once) as pool:
         return dict(zip(tables, pool.map(lambda df: inheritable_thread_target(df.sparkSession)(materialise)(df), tables.values())))
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each data file in a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return {s.getPath().toString(): s.getLen() for s in found if s.getPath().getName().startswith("part-")}
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete what :func:`materialise` wrote for ``tables``: nothing may read them any more."""
     for df in tables:
+        if hasattr(df, "scratch_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.scratch_table}")
         remove_path(df.sparkSession, df.scratch_path)
 
 
