@@ -18,3 +18,11 @@ def test_rows_of_items_only(spark, monkeypatch):
     cat = [*features.TAXONOMY, "size"]
     made, whole = Q.queries()["category_mapping"](spark, SF), encode.build_category_mappings(Q.Inputs(spark, SF).wide, cat)
     assert made.count() == whole.count() > 0 and made.exceptAll(whole).isEmpty()
+
+
+def test_groups_of_files_are_tasks(spark, monkeypatch):
+    monkeypatch.setattr(Q, "CHUNK_LINES", 3_000)
+    monkeypatch.setattr(Q, "TASK_ROWS", 3_000)
+    made = Q.Inputs(spark, SF).written_wide([*Q.IDS, "item_n_customers"])
+    joins = made._jdf.queryExecution().executedPlan().toString().count("BuildLeft")
+    assert made.rdd.getNumPartitions() == joins > 1
