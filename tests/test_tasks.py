@@ -22,7 +22,17 @@ def test_rows_of_items_only(spark, monkeypatch):
 
 def test_groups_of_files_are_tasks(spark, monkeypatch):
     monkeypatch.setattr(Q, "CHUNK_LINES", 3_000)
-    monkeypatch.setattr(Q, "TASK_ROWS", 3_000)
+    monkeypatch.setattr(Q, "TASK_ROWS", 800)
     made = Q.Inputs(spark, SF).written_wide([*Q.IDS, "item_n_customers"])
     joins = made._jdf.queryExecution().executedPlan().toString().count("BuildLeft")
     assert made.rdd.getNumPartitions() == joins > 1
+
+
+def test_candidates_of_dealt_lines(spark):
+    i = Q.Inputs(spark, SF)
+    hist = i._hist_of(0, ["brand"])
+    made = i._labeled_of(0, hist, lambda rows: rows, i._partners(["brand"]), ["brand"])
+    whole = i.labeled.join(i.items.select("item_id", "brand"), "item_id").select(*made.columns)
+    assert made.count() == whole.count() > 0 and made.exceptAll(whole).isEmpty()
+    files = [f.rpartition("_")[2] for f in made.inputFiles()]
+    assert len(files) == len(set(files)) <= i._buckets  # one of each bucket: they lay by customer

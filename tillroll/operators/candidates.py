@@ -9,11 +9,12 @@ Sources take a history's lines or, cheaper where several are made, its cells fro
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillroll.functions import top_overall, top_per_key, total
 
@@ -150,6 +151,45 @@ def pairs_of_bills(bills: DataFrame, anchors: DataFrame | None, co_top_k: int, c
     return top_per_key(counted, ["anchor_item_id"], [F.desc("n_co_bills"), F.asc("item_id")], co_top_k, "cooccurrence_rank")
 
 
+def partners_of(pairs: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+    """:func:`cooccurrence_pairs` as one row for each anchor item: its ``partners``, an array,
+    with the columns that ``meta`` has of items."""
+    known = pairs if meta is None else pairs.join(meta, "item_id", "left")
+    each = F.struct(*[c for c in known.columns if c not in ("anchor_item_id", "n_co_bills")])
+    return known.groupBy("anchor_item_id").agg(F.collect_list(each).alias("partners"))
+
+
+def candidates_of_dealt(cells: DataFrame, partners: DataFrame, n: int, recent_top_k: int, frequent_top_k: int, own: Iterable[str] = ()) -> DataFrame:
+    """Recent, frequent and co-purchased items of active customers, merged as by :func:`merge_candidates`.
+
+    ``cells``, a row for each customer and item, lie by customer. Their best go to their
+    partners, by item, and back to ``n`` parts of customers with these as an array: one
+    relation, as a union would be dealt again.
+    """
+    place = lambda *order: F.row_number().over(Window.partitionBy("customer_id").orderBy(*order, F.asc("item_id"))).cast("int")
+    ranked = cells.withColumns({
+        "recent_rank": F.when(F.col("updated_date").isNotNull(), place(F.desc("updated_date"), F.desc("n_lines"))),
+        "frequent_rank": place(F.desc("n_lines"), F.desc(F.coalesce("quantity", F.lit(0)))),
+    })
+    ranks = {"recent_rank": recent_top_k, "frequent_rank": frequent_top_k}
+    ranked = ranked.select("customer_id", "item_id", *own, *[F.when(F.col(r) <= k, F.col(r)).alias(r) for r, k in ranks.items()]).where("recent_rank IS NOT NULL OR frequent_rank IS NOT NULL")
+    anchor = F.when(F.col("frequent_rank").isNotNull(), F.col("item_id"))
+    met = ranked.withColumn("anchor_item_id", anchor).join(partners, "anchor_item_id", "left").drop("anchor_item_id").repartition(n, "customer_id")
+    no_rank = F.lit(None).cast("int")
+    itself = F.struct("item_id", *own, *ranks, no_rank.alias("cooccurrence_rank"))
+    theirs = F.transform("partners", lambda x: F.struct(x["item_id"].alias("item_id"), *[x[c].alias(c) for c in own], *[no_rank.alias(r) for r in ranks], x["cooccurrence_rank"].alias("cooccurrence_rank")))
+    rows = met.select("customer_id", F.explode(F.concat(F.array(itself), F.coalesce(theirs, F.array().cast(met.select(F.array(itself)).schema[0].dataType)))).alias("x")).select("customer_id", "x.*")
+    least = rows.groupBy("customer_id", "item_id", *own).agg(*[F.min(r).alias(r) for r in (*ranks, "cooccurrence_rank")])
+    from_source = {f: (F.col(r).isNotNull() if (r := f"{s}_rank") in least.columns else F.lit(False)) for s, f in SOURCE_FLAGS.items()}
+    rank = lambda r: F.coalesce(r, F.lit(ABSENT_RANK)) if r in least.columns else F.lit(ABSENT_RANK)
+    return least.select(
+        "customer_id", "item_id", *own,
+        *[p.cast("byte").alias(f) for f, p in from_source.items()],
+        sum((p.cast("int") for p in from_source.values()), F.lit(0)).alias("n_candidate_sources"),
+        *[rank(r).cast("int").alias(r) for r in RANKS],
+    )
+
+
 def cooccurrence_candidates(
     hist: DataFrame,
     active: DataFrame,

@@ -87,18 +87,19 @@ def prepare_matrix(df: DataFrame, spec: PreprocessSpec, mappings: DataFrame, ids
     return fill_numeric(encode_categories(df, spec.cat, mappings), spec.numeric).select(*ids, *spec.numeric, *spec.cat)
 
 
-def fit_preprocess(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selected: list[str] | None = None, blocked: Iterable[str] = ()) -> tuple[PreprocessSpec, DataFrame]:
+def fit_preprocess(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selected: list[str] | None = None, blocked: Iterable[str] = (), seen: DataFrame | None = None) -> tuple[PreprocessSpec, DataFrame]:
+    """``seen``, if given, has the categories' values of ``df`` in fewer rows."""
     numeric, kept = infer_feature_columns(df, drop, cat, selected)
     assert_no_blocked_features([*numeric, *kept], blocked)
-    return PreprocessSpec(numeric, kept, selected), build_category_mappings(df, kept)
+    return PreprocessSpec(numeric, kept, selected), build_category_mappings(df if seen is None else seen, kept)
 
 
-def prepare_train_matrix(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selected: list[str] | None = None, blocked: Iterable[str] = (), keep_ids: bool = True) -> tuple[DataFrame, PreprocessSpec, DataFrame]:
+def prepare_train_matrix(df: DataFrame, drop: Iterable[str], cat: Iterable[str], selected: list[str] | None = None, blocked: Iterable[str] = (), keep_ids: bool = True, seen: DataFrame | None = None) -> tuple[DataFrame, PreprocessSpec, DataFrame]:
     """Matrix with target, spec and mappings; with the ids, which seeded sampling needs.
 
     The mappings are written: of known size, they are broadcast, and ``df`` isn't shuffled.
     """
-    spec, mappings = fit_preprocess(df, drop, cat, selected, blocked)
+    spec, mappings = fit_preprocess(df, drop, cat, selected, blocked, seen)
     mappings = materialise(mappings)
     return prepare_matrix(df, spec, mappings, ["customer_id", "item_id", "target"] if keep_ids else ["target"]), spec, mappings
 

@@ -73,12 +73,13 @@ def make_user_features(hist: DataFrame, max_date: Column) -> DataFrame:
     return user.withColumns({name: F.try_divide(F.col(c).cast("double"), F.col("user_n_bills")) for name, c in per_bill.items()})
 
 
-def purchase_pairs(hist: DataFrame, max_date: Column) -> DataFrame:
-    """Lines of each customer and item: what item and pair features are made of."""
+def purchase_pairs(hist: DataFrame, max_date: Column, n_bills: Callable[[str], Column] = n_set) -> DataFrame:
+    """Lines of each customer and item: what item and pair features are made of. ``n_bills`` counts distinct
+    bills: ``F.count_distinct`` is better for lines that lie by customer, as it needs no sets."""
     sums = {"price": F.col("price"), "discount": F.col("discount"), "rate": discount_rate(), "on_sale": (F.col("discount") > 0).cast("int")}
     return hist.groupBy("customer_id", "item_id").agg(
         F.count("*").alias("n"),
-        n_set("bill_id").alias("bills"),
+        n_bills("bill_id").alias("bills"),
         total("quantity").alias("q"),
         *[F.sum(c).alias(f"s_{k}") for k, c in sums.items()],
         *[F.count(c).alias(f"c_{k}") for k, c in sums.items()],

@@ -111,12 +111,12 @@ def materialise(df: DataFrame, partition_by: tuple[str, ...] = (), codec: str =
     return out
 
 
-def materialise_dealt(df: DataFrame, key: str, n: int) -> DataFrame:
+def materialise_dealt(df: DataFrame, key: str, n: int, lies: bool = False) -> DataFrame:
     """Like :func:`materialise`, dealt by ``key`` to ``n`` buckets: what is grouped or joined by it, or by
-    it and more, is dealt no more."""
+    it and more, is dealt no more. ``lies``: so do the rows of ``df`` already."""
     name = f"dealt_{uuid4().hex}"
     path = f"{scratch_folder(df.sparkSession)}/{name}"
-    df.repartition(n, key).write.bucketBy(n, key).options(path=path, compression="zstd").saveAsTable(name, format="parquet")
+    (df if lies else df.repartition(n, key)).write.bucketBy(n, key).options(path=path, compression="zstd").saveAsTable(name, format="parquet")
     out = df.sparkSession.table(name)
     out.scratch_path, out.scratch_table = path, name
     return out
